@@ -86,13 +86,16 @@ def retry_overlay(first: DataFrame, retry: DataFrame, key: str, value: str) -> D
         value, F.coalesce(value, "__again")).drop("__again")
 
 
-def supplement(found: DataFrame, extra: DataFrame, key: str, allowed: Iterable,
+def supplement(found: DataFrame, extra: DataFrame, key: str, allowed: Column | Iterable,
                tie: Sequence[Column]) -> DataFrame:
-    """Allowed records, plus hand-written ones that are allowed and not found already."""
-    allowed = list(allowed)
-    kept = found.filter(F.col(key).isin(*allowed))
-    added = latest(extra.filter(F.col(key).isin(*allowed)).join(
-        kept.select(key), key, "left_anti"), [key], *tie)
+    """Allowed records, plus hand-written ones that are allowed and not found already.
+
+    ``allowed`` is a condition or a list of keys.
+    """
+    if not isinstance(allowed, Column):
+        allowed = F.col(key).isin(*list(allowed))
+    kept = found.filter(allowed)
+    added = latest(extra.filter(allowed).join(kept.select(key), key, "left_anti"), [key], *tie)
     return kept.unionByName(added, allowMissingColumns=True)
 
 

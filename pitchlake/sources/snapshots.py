@@ -21,19 +21,21 @@ def expand_seasons(text: str) -> list[int]:
 
 
 def season_of(path: Column) -> Column:
-    """The folder that holds the file names the season."""
-    return F.try_element_at(F.split(path, "/"), F.lit(-2)).try_cast("int")
+    """The folder that holds the file names the season, ``2024`` or ``season=2024``."""
+    folder = F.try_element_at(F.split(path, "/"), F.lit(-2))
+    return F.regexp_extract(folder, "^(?:.*=)?([0-9]+)$", 1).try_cast("int")
 
 
 def file_name(path: Column) -> Column:
     return F.try_element_at(F.split(path, "/"), F.lit(-1))
 
 
-def season_paths(root: str, file: str, seasons: Iterable[int] | None = None) -> list[str]:
+def season_paths(root: str, file: str, seasons: Iterable[int] | None = None,
+                 folder: str = "{}") -> list[str]:
     """Reader paths of one asset; naming the seasons keeps other folders from being listed."""
     if seasons is None:
         return [f"{root}/*/{file}"]
-    return [f"{root}/{season}/{file}" for season in seasons]
+    return [f"{root}/{folder.format(season)}/{file}" for season in seasons]
 
 
 def read_snapshots(spark: SparkSession, paths: str | list[str],
@@ -72,9 +74,9 @@ def force_types(df: DataFrame, text: Iterable[str] = (), as_json: Iterable[str]
 
 
 def read_seasons(spark: SparkSession, root: str, file: str, seasons: Iterable[int],
-                 schema) -> DataFrame:
+                 schema, folder: str = "{}") -> DataFrame:
     """All seasons of one asset as typed records with ``season`` and ``season_file``."""
-    records = spark.read.schema(schema).json(season_paths(root, file, seasons))
+    records = spark.read.schema(schema).json(season_paths(root, file, seasons, folder))
     path = F.col("_metadata.file_path")
     return records.select("*", season_of(path).alias("season"), path.alias("season_file"))
 
