@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from catalog import query
 from pitchlake.plans.settings import Settings
 from pitchlake.plans.warehouse import TABLES, plan
+from pitchlake.session import scratch
+from pitchlake.sinks.writers import write_table
+from pitchlake.sources.snapshots import widen
 
 SITE = "https://example.org"
 AS_OF = "2024-06-30"
@@ -55,7 +58,7 @@ def _cents(number: Column) -> Column:
 
 def _snapshots(df: DataFrame, seasons: Column, **fields: Column) -> DataFrame:
     """JSON lines, one per season of ``seasons``; fields may use ``season``."""
-    rows = df.select("*", F.explode(seasons).alias("season"))
+    rows = widen(df).select("*", F.explode(seasons).alias("season"))
     record = F.to_json(F.struct(*[c.alias(n.rstrip("_")) for n, c in fields.items()]))
     path = _say("raw/", _text(F.col("season")), "/lines.json")
     return rows.select(record.alias("value"), F.col("season").cast("int").alias("season"),
@@ -606,10 +609,29 @@ def _raw(t, table: str) -> dict[str, DataFrame]:
     return needed
 
 
+def _shared(table: str) -> set[str]:
+    """Tables that more than one step below ``table`` reads."""
+    readers: dict[str, set[str]] = {}
+    waiting = [table]
+    while waiting:
+        name = waiting.pop()
+        for needed in TABLES[name].inputs:
+            if needed in TABLES:
+                readers.setdefault(needed, set()).add(name)
+                waiting.append(needed)
+    return {name for name, users in readers.items() if len(users) > 1}
+
+
 def _register(table: str) -> None:
+    shared = _shared(table)
+
     @query(f"table_{table}", _sql(table))
     def build(t):
-        return plan(_raw(t, table), [table], SETTINGS)[table]
+        # As in a full run, a table read more than once is written and read back.
+        def keep(name, df):
+            return write_table(df, scratch(t.spark, name)) if name in shared else df
+
+        return plan(_raw(t, table), [table], SETTINGS, keep)[table]
 
 
 for _table in TABLES:

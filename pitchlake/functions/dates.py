@@ -26,15 +26,15 @@ def iso_date(text: Column) -> Column:
 def game_date(text: Column, day_first: Column) -> Column:
     """``Sat, 05/08/23``: the preferred order of day and month first, the other as fallback."""
     layout = rf"(?i)^(?:{WEEKDAYS}), (\d{{1,2}})/(\d{{1,2}})/(\d{{2}})$"
-    one, two, year = (F.regexp_extract(text, layout, g) for g in (1, 2, 3))
-    century = F.when(year.try_cast("int") >= CENTURY_PIVOT, F.lit("19")).otherwise(F.lit("20"))
+    day_leads, month_leads = F.lit("20$3-$2-$1"), F.lit("20$3-$1-$2")
 
-    def read(month: Column, day: Column) -> Column:
-        return iso_date(F.concat(century, year, F.lit("-"), month, F.lit("-"), day))
+    def read(order: Column) -> Column:
+        return iso_date(F.regexp_replace(text, layout, order))
 
-    month_leads, day_leads = read(one, two), read(two, one)
-    return F.when(day_first, F.coalesce(day_leads, month_leads)).otherwise(
-        F.coalesce(month_leads, day_leads))
+    date = F.coalesce(read(F.when(day_first, day_leads).otherwise(month_leads)),
+                      read(F.when(day_first, month_leads).otherwise(day_leads)))
+    centuries = (F.year(date) >= 2000 + CENTURY_PIVOT).cast("int")
+    return F.add_months(date, centuries * -1200)
 
 
 def era_date(text: Column, season: Column, always_day_first: Column,

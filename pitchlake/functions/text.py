@@ -20,7 +20,7 @@ def last_token(text: Column, sep: str = "/") -> Column:
 
 def href_id(href: Column) -> Column:
     """Numeric id in fifth position of a profile link."""
-    return to_int(token(href, 5))
+    return token(href, 5).try_cast("int")
 
 
 def to_int(text: Column) -> Column:

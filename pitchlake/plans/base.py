@@ -159,17 +159,19 @@ def formations(raw_lineups: DataFrame) -> DataFrame:
 
 
 def games(raw: DataFrame, raw_lineups: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    rows = parse(raw, layouts.GAMES).withColumn("game_id", href_id(F.col("href")))
-    newest = newest_snapshot(rows, ["game_id"])
     parent = _links("parent", "href")
     date = dates.era_date(F.col("date"), F.col("season"), parent.contains(TOURNAMENT_LINK))
+    rows = parse(raw, layouts.GAMES).withColumns(
+        {"game_id": href_id(F.col("href")), "date": date})
+    # An undated newest snapshot drops the game, so the date is tested behind the pick.
+    newest = newest_snapshot(rows, ["game_id"]).filter(F.col("date").isNotNull())
     score = F.col("result")
     sheet = newest.select(
         "game_id",
         token(parent, 5).alias("competition_id"),
         "season",
         F.col("matchday").alias("round"),
-        date.alias("date"),
+        "date",
         href_id(_links("home_club", "href")).alias("home_club_id"),
         href_id(_links("away_club", "href")).alias("away_club_id"),
         match.goals(score, 1).alias("home_club_goals"),
@@ -182,7 +184,7 @@ def games(raw: DataFrame, raw_lineups: DataFrame, settings: Settings = Settings(
         match.attendance(F.col("attendance")).alias("attendance"),
         "referee",
         _url(settings))
-    return sheet.filter(F.col("date").isNotNull()).join(formations(raw_lineups), "game_id", "left")
+    return sheet.join(formations(raw_lineups), "game_id", "left")
 
 
 def game_events(raw: DataFrame) -> DataFrame:

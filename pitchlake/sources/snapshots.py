@@ -38,6 +38,12 @@ def season_paths(root: str, file: str, seasons: Iterable[int] | None = None,
     return [f"{root}/{folder.format(season)}/{file}" for season in seasons]
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread the rows of an input with fewer partitions than the cluster has cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_snapshots(spark: SparkSession, paths: str | list[str],
                    spread: int | None = None) -> DataFrame:
     """Rows ``(value, season, filename)``; gzip is told by extension.
