@@ -32,24 +32,28 @@ def profile(df: DataFrame, samples: int = SAMPLE_VALUES,
     """Per column: type, description and its smallest distinct values.
 
     Each further value is the minimum above the last one found, so every pass is a plain
-    aggregate of the columns and no distinct values are gathered anywhere.
+    aggregate of the columns, one row comes back from it, and no distinct values are
+    gathered anywhere.
     """
     types, descriptions = dict(df.dtypes), descriptions or {}
-    found: list[Column] = []
-    for _ in range(samples):
-        smallest = []
-        for c in df.columns:
-            value = F.col(c)
-            if found:
-                value = F.when(value > found[-1][c], value)
-            smallest.append(F.min(value).alias(c))
-        found.append(df.agg(F.struct(*smallest).alias("m")).scalar())
+    found: list[dict] = []
+
+    def above(name: str) -> Column:
+        value = F.col(name)
+        if not found:
+            return value
+        return F.when(value > F.lit(found[-1][name]).cast(types[name]), value)
+
+    for _ in range(samples - 1):
+        found.append(df.agg(*[F.min(above(c)).alias(c) for c in df.columns]).first().asDict())
+    last = df.agg(*[F.min(above(c)).alias(c) for c in df.columns])
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("field"), F.lit(types[c]).alias("type"),
                  F.lit(descriptions.get(c)).cast("string").alias("description"),
-                 F.concat_ws(", ", *[m[c].cast("string") for m in found]).alias("sample_values"))
+                 F.concat_ws(", ", *[F.lit(m[c]).cast(types[c]).cast("string") for m in found],
+                             F.col(c).cast("string")).alias("sample_values"))
         for c in df.columns]))
-    return df.sparkSession.range(1).select(rows.alias("r")).select("r.*")
+    return last.select(rows.alias("r")).select("r.*")
 
 
 def records_delta(df: DataFrame, as_of: Column, date: str | None = "date",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -38,15 +39,17 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     known = right.select(
         F.col(key).alias("k"), F.col(right_time).alias("t"),
         F.lit(False).alias("wanted"), state.alias("state"), rank.alias("rank"))
-    points = (points.unionByName(known)
-              .filter(F.col("k").isNotNull() & F.col("t").isNotNull())
-              .groupBy("k", "t")
+    levels = {f"g{i}": grain(F.col("t")) for i, grain in enumerate(grains)}
+    points = points.unionByName(known).withColumns(levels)
+    # All branches below start from this aggregate in the same shape, so that its shuffle
+    # is done once and reused: same grouping, same filters, no column pruned in any.
+    given = [F.col(c).isNotNull() for c in ("k", "t", *levels)]
+    points = (points.filter(reduce(Column.__and__, given))
+              .groupBy("k", *levels, "t")
               .agg(F.max("wanted").alias("wanted"),
                    F.max_by("state", "rank").alias("state")))
 
-    levels = {f"g{i}": grain(F.col("t")) for i, grain in enumerate(grains)}
-    carried = _carry(points.withColumns(levels), list(levels))
-    answers = carried.filter("wanted").select(
+    answers = _carry(points, list(levels)).filter("wanted").select(
         F.col("k").alias(key), F.col("t").alias(left_time), "state")
     matched = left.join(answers, [key, left_time], "left")
     others = [c for c in left.columns if c not in payload]
@@ -67,10 +70,11 @@ def _carry(points: DataFrame, levels: list[str]) -> DataFrame:
 
 
 def _incoming(points: DataFrame, levels: list[str]) -> DataFrame:
-    """State at the start of every group that lies in the past of it."""
+    """State at the start of every group in which a point is wanted."""
     groups = ["k", *levels]
     outer, finest = groups[:-1], groups[-1]
     ends = points.groupBy(*groups).agg(
+        F.max("wanted").alias("wanted"),
         F.max_by("state", F.when(F.col("state").isNotNull(), F.col("t"))).alias("state"))
     before = Window.partitionBy(*outer).orderBy(finest).rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.withColumn("incoming", F.last("state", ignorenulls=True).over(before))
@@ -79,4 +83,4 @@ def _incoming(points: DataFrame, levels: list[str]) -> DataFrame:
         above = above.withColumnRenamed("incoming", "earlier")
         starts = starts.join(above, outer, "left").withColumn(
             "incoming", F.coalesce("incoming", "earlier"))
-    return starts.select(*groups, "incoming")
+    return starts.filter("wanted").select(*groups, "incoming")
