@@ -8,6 +8,8 @@ lineitems appearances. The SQL states the expected table straight from those row
 from pyspark.sql import Column, DataFrame, functions as F
 
 from catalog import query
+from pitchlake.operators import quality as q
+from pitchlake.plans.checks import history_checks, league_checks
 from pitchlake.plans.settings import Settings
 from pitchlake.plans.warehouse import TABLES, plan
 from pitchlake.session import scratch
@@ -636,3 +638,50 @@ def _register(table: str) -> None:
 
 for _table in TABLES:
     _register(_table)
+
+
+def _metric(check: str, table: str, column: str, rows: str, severity: str = "error") -> str:
+    return f"""select '{check}' as "check", '{table}' as "table", '{column}' as "column",
+        '{severity}' as severity, count(*) as failures, cast(null as varchar) as detail
+        from ({rows})"""
+
+
+@query("league_report", f"""
+    with base_games as ({BASE_SQL["base_games"]}), base_clubs as ({BASE_SQL["base_clubs"]}),
+    leagues as (select * from ({BASE_SQL["base_competitions"]}) where sub_type = 'first_tier'),
+    per_season as (
+        select competition_id, season, count(distinct game_id) as n,
+               count(distinct home_club_id) as clubs
+        from base_games group by 1, 2)
+    """ + " union all ".join([
+        _metric("games_per_matchday", "games", "round", """
+            select 1 from base_games
+            where competition_id in (select competition_id from leagues) and season <> 2025
+            group by round, season, competition_id having count(*) < 9"""),
+        _metric("clubs_per_league", "clubs", "domestic_competition_id", """
+            select 1 from leagues l left join base_clubs c
+                on c.domestic_competition_id = l.competition_id
+            group by competition_id, l.total_clubs
+            having l.total_clubs is null or count(distinct club_id) < l.total_clubs"""),
+        _metric("double_round_robin", "games", "season", """
+            select 1 from per_season
+            where competition_id in (select competition_id from leagues)
+              and season <> (select max(season) from base_games)
+              and competition_id in (
+                  select competition_id from per_season group by 1 having count(*) > 1)
+              and n <> clubs * (clubs - 1)"""),
+        _metric("number_of_leagues", "competitions", "sub_type", """
+            select count(*) from leagues having count(*) not between 31 and 32"""),
+        _metric("null_responses", "raw.market_values", "response", """
+            select 1 from customer where c_custkey % 3 <> 2
+            having 100.0 * count(*) filter (where c_custkey % 3 = 0) / count(*) > 10""", "warn"),
+        _metric("lost_history", "base_transfers", "player_id", "select 1 from customer where false"),
+    ]))
+def league_report(t):
+    names = ["games", "clubs", "competitions", "transfers"]
+    raw = {k: v for n in names for k, v in _raw(t, f"base_{n}").items()}
+    raw["raw.market_values"] = raw_market_values(t)
+    base = plan(raw, [f"base_{n}" for n in names], SETTINGS,
+                lambda name, df: write_table(df, scratch(t.spark, name)))
+    tables = base | {n: base[f"base_{n}"] for n in names}
+    return q.report(league_checks(tables) + history_checks(tables, raw))

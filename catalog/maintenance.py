@@ -3,7 +3,11 @@
 from pyspark.sql import functions as F
 
 from catalog import query
-from pitchlake.operators import contract, gate, merge
+from pitchlake.operators import analyst, contract, gate, merge
+from pitchlake.operators.quality import null_shares, report
+from pitchlake.plans import refresh
+from pitchlake.session import scratch
+from pitchlake.sinks import writers
 
 
 @query("upsert_merge", """
@@ -95,8 +99,6 @@ def write_gate(t):
     from events group by 1
     having count(*) filter (where event_type = 'error') > 0.2 * count(*)""")
 def write_gate_by_day(t):
-    from pitchlake.operators.quality import null_shares
-
     days = null_shares(t.events.select(F.to_date("ts").alias("day"), "event_type"), "day",
                        F.col("event_type") == "error")
     return (days.filter(F.col("null_count") > gate.MAX_NULL_SHARE * F.col("total"))
@@ -104,12 +106,77 @@ def write_gate_by_day(t):
 
 
 PART = contract.Contract("part", tuple(
-    contract.Field(n, k) for n, k in (("p_partkey", "integer"), ("p_brand", "string"),
-                                      ("p_name", "string"), ("p_size", "integer"),
-                                      ("p_type", "string"), ("p_retailprice", "number"))))
+    contract.Field(n, k, tags=("explore",) if n in ("p_brand", "p_type") else ())
+    for n, k in (("p_partkey", "integer"), ("p_brand", "string"), ("p_name", "string"),
+                 ("p_size", "integer"), ("p_type", "string"), ("p_retailprice", "number"))))
 
 
 @query("contract_project",
        "select p_partkey, p_brand, p_name, p_size, p_type, p_retailprice from part")
 def contract_project(t):
     return PART.project(t.part)
+
+
+@query("tagged_options", """
+    select p_brand, p_type, count(*) as "rows" from part group by p_brand, p_type""")
+def tagged_options(t):
+    columns = analyst.default_filters(t.part, PART.tagged("explore"))
+    return t.part.groupBy(*columns).agg(F.count("*").alias("rows"))
+
+
+@query("scope_chain", """
+    select 'clubs' as asset, count(*) as "rows" from nation where n_regionkey in (1, 3)
+    union all
+    select 'players', count(*) from customer join nation on c_nationkey = n_nationkey
+    where n_regionkey in (1, 3)
+    union all
+    select 'appearances', count(*) from orders join customer on o_custkey = c_custkey
+    join nation on c_nationkey = n_nationkey where n_regionkey in (1, 3)
+    union all
+    select 'games', count(*) from orders where o_orderkey % 5 in (1, 3)
+    union all
+    select 'game_lineups', count(*) from orders where o_orderkey % 5 in (1, 3)""")
+def scope_chain(t):
+    # Regions stand for competitions, nations for clubs, customers for players.
+    def href(id_, parent=None):
+        fields = [F.concat(F.lit("/x/"), id_.cast("string"), F.lit("/")).alias("href")]
+        owner = parent if parent is not None else F.lit(0)
+        return fields + [F.struct(F.concat(F.lit("/y/"), owner.cast("string")).alias("href"))
+                         .alias("parent")]
+
+    order = F.col("o_orderkey")
+    kept = merge.scope_chain({
+        "competitions": t.region.select(*href(F.col("r_regionkey"))),
+        "clubs": t.nation.select(*href(F.col("n_nationkey"), F.col("n_regionkey"))),
+        "players": t.customer.select(*href(F.col("c_custkey"), F.col("c_nationkey"))),
+        "appearances": t.orders.select(*href(order, F.col("o_custkey"))),
+        "games": t.orders.select(*href(order, order % 5)),
+        "game_lineups": t.orders.select(*href(order)),
+    }, competitions=["1", "3"])
+    return report([df.agg(F.count("*").alias("rows")).select(F.lit(asset).alias("asset"), "rows")
+                   for asset, df in kept.items() if asset != "competitions"])
+
+
+@query("merge_snapshot_files", """
+    select '/p/' || c_custkey as href, case when c_custkey % 3 <> 0 then 'new' else 'old' end as code,
+           case when c_custkey % 3 <> 0 then cast(c_nationkey as varchar) end
+               as current_market_value,
+           '/c/' || c_nationkey as club, case when c_custkey % 3 <> 0 then c_mktsegment end as coach
+    from customer""")
+def merge_snapshot_files(t):
+    # In old files the value is always null and the parent has fewer fields.
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    club = F.concat(F.lit("/c/"), nation).alias("href")
+    href = F.concat(F.lit("/p/"), key.cast("string")).alias("href")
+    old = t.customer.filter(key % 3 != 1).select(
+        href, F.lit("old").alias("code"), F.struct(club).alias("parent"))
+    new = t.customer.filter(key % 3 != 0).select(
+        href, F.lit("new").alias("code"), F.col("c_nationkey").alias("current_market_value"),
+        F.struct(club, F.col("c_mktsegment").alias("coach")).alias("parent"))
+    paths = [writers.export_json(df, scratch(t.spark, "players.json")) for df in (new, old)]
+    merged = refresh.merge_snapshot(t.spark, paths[0], paths[1], "players",
+                                    scratch(t.spark, "merged.json"))
+    return t.spark.read.json(merged).select(
+        "href", "code", "current_market_value",
+        F.get_json_object("parent", "$.href").alias("club"),
+        F.get_json_object("parent", "$.coach").alias("coach"))

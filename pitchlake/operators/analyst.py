@@ -17,6 +17,11 @@ def matching(df: DataFrame, equal: Mapping[str, object]) -> DataFrame:
     return df
 
 
+def default_filters(df: DataFrame, tagged: Sequence[str]) -> list[str]:
+    """Columns offered for filtering: the tagged ones, else the first four."""
+    return list(tagged) or df.columns[:4]
+
+
 def preview(df: DataFrame, equal: Mapping[str, object], order: Sequence[Column],
             rows: int = PREVIEW_ROWS) -> DataFrame:
     """The first rows among those that match."""

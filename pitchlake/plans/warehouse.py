@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pitchlake.plans import base, curated
+from pitchlake.plans.contracts import CONTRACTS
 from pitchlake.plans.settings import Settings
 from pitchlake.sinks.writers import export_csv, publish, write_table
-from pitchlake.sources.snapshots import read_snapshots, season_paths
+from pitchlake.sources.snapshots import read_snapshots, read_table_csv, season_paths
 
 # File of each raw source; those without season lie directly below the root.
 SEASON_FILES = {
@@ -142,15 +143,24 @@ def run(raw: Mapping[str, DataFrame], root: str, targets: Iterable[str] = tuple(
     return plan(raw, targets, settings, lambda name, df: write_table(df, f"{root}/{name}"))
 
 
-def export(tables: Mapping[str, DataFrame], target: str,
-           disabled: Iterable[str] = (), single_file: bool = False) -> None:
+def export(tables: Mapping[str, DataFrame], target: str, disabled: Iterable[str] = ()) -> None:
     """Gzip CSV of every curated table in its declared order."""
     disabled = set(disabled)
     for name, table in CURATED.items():
         if name in tables:
             export_csv(tables[name], f"{target}/{name}.csv.gz", table.order,
-                       enabled=name not in disabled, single_file=single_file)
+                       enabled=name not in disabled)
 
 
 def publish_curated(tables: Mapping[str, DataFrame], target: str, commit: str) -> dict[str, str]:
     return publish({n: tables[n] for n in CURATED if n in tables}, target, commit)
+
+
+def load(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """An exported table with the declared types; its columns must be the declared ones."""
+    contract = CONTRACTS[name]
+    path = f"{target}/{name}.csv.gz"
+    header = spark.read.option("header", True).csv(path).columns
+    typed = {f.name: f.spark_type for f in contract.fields}
+    schema = T.StructType([T.StructField(c, typed.get(c, T.StringType())) for c in header])
+    return contract.project(read_table_csv(spark, path, schema))

@@ -35,14 +35,12 @@ def in_order(df: DataFrame, *order: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, order: Iterable[str] = (),
-               enabled: bool = True, single_file: bool = False) -> str | None:
-    """Gzip CSV with header. One file means one writing task, so it has to be asked for."""
+               enabled: bool = True) -> str | None:
+    """Gzip CSV with header, one file per range of the order; names sort like the rows."""
     if not enabled:
         return None
     order = list(order)
     out = in_order(df, *order) if order else df
-    if single_file:
-        out = out.coalesce(1)
     (out.write.mode("overwrite").option("header", True).option("escape", '"')
         .option("emptyValue", '""').option("compression", "gzip").csv(path))
     return path
