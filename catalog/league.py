@@ -611,8 +611,12 @@ def _raw(t, table: str) -> dict[str, DataFrame]:
     return needed
 
 
+# Tables whose builder goes over some inputs more than once.
+REREAD = {"player_valuations": {"base_market_values", "base_transfers"}}
+
+
 def _shared(table: str) -> set[str]:
-    """Tables that more than one step below ``table`` reads."""
+    """Tables below ``table`` that are read more than once."""
     readers: dict[str, set[str]] = {}
     waiting = [table]
     while waiting:
@@ -621,7 +625,7 @@ def _shared(table: str) -> set[str]:
             if needed in TABLES:
                 readers.setdefault(needed, set()).add(name)
                 waiting.append(needed)
-    return {name for name, users in readers.items() if len(users) > 1}
+    return {n for n, users in readers.items() if len(users) > 1} | REREAD.get(table, set())
 
 
 def _register(table: str) -> None:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,70 +16,84 @@ TIMESTAMP_GRAINS: tuple[Grain, ...] = (
     lambda t: F.date_trunc("minute", t),
 )
 
+# A key is hot when it holds more than one row in MAX_HOT_KEYS, so there are never more
+# hot keys than that; below the floor no key is worth splitting.
+MAX_HOT_KEYS = 10_000
+HOT_FLOOR = 100_000
+
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
               payload: Sequence[str], tie: Sequence[Column],
-              grains: Sequence[Grain] = DATE_GRAINS) -> DataFrame:
+              grains: Sequence[Grain] = DATE_GRAINS, hot_floor: int = HOT_FLOOR) -> DataFrame:
     """Left rows with the payload of the key's last right row not later than the left time.
 
     The last row wins whole, a NULL in its payload included. ``tie`` orders right rows of
     the same key and time, the greatest wins.
 
-    Neither side is gathered by key. Points are first reduced to one per key and time,
-    then carried forward within one grain at a time, so a key that holds most rows is
-    worked on by as many tasks as it has grains.
+    Points are first reduced to one per key and time, within each input task, so copies of
+    a point cost nothing. Then a window per key carries the last state forward. Hot keys
+    are cut into windows per grain of time, each of which starts from the state that the
+    grains before it have left: no task ever holds all points of a hot key.
     """
     state = F.struct(*[F.col(c) for c in payload])
     empty = F.lit(None).cast(right.select(state.alias("s")).schema["s"].dataType)
-    points = left.select(
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(tie)])
+    asked = left.select(
         F.col(key).alias("k"), F.col(left_time).alias("t"),
         F.lit(True).alias("wanted"), empty.alias("state"), F.lit(None).alias("rank"))
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(tie)])
     known = right.select(
         F.col(key).alias("k"), F.col(right_time).alias("t"),
         F.lit(False).alias("wanted"), state.alias("state"), rank.alias("rank"))
-    levels = {f"g{i}": grain(F.col("t")) for i, grain in enumerate(grains)}
-    points = points.unionByName(known).withColumns(levels)
-    # All branches below start from this aggregate in the same shape, so that its shuffle
-    # is done once and reused: same grouping, same filters, no column pruned in any.
-    given = [F.col(c).isNotNull() for c in ("k", "t", *levels)]
-    points = (points.filter(reduce(Column.__and__, given))
-              .groupBy("k", *levels, "t")
-              .agg(F.max("wanted").alias("wanted"),
-                   F.max_by("state", "rank").alias("state")))
-
-    answers = _carry(points, list(levels)).filter("wanted").select(
+    points = asked.unionByName(known).filter(F.col("k").isNotNull() & F.col("t").isNotNull())
+
+    names = [f"g{i}" for i in range(len(grains))]
+    # The hint is safe: _hot_keys returns at most MAX_HOT_KEYS rows.
+    points = points.join(F.broadcast(_hot_keys(points, hot_floor)), "k", "left")
+    points = points.withColumns({
+        name: F.when(F.col("hot"), grain(F.col("t"))) for name, grain in zip(names, grains)})
+    single = points.groupBy("k", *names, "t").agg(
+        F.max("wanted").alias("wanted"), F.max_by("state", "rank").alias("state"))
+    upto = Window.partitionBy("k", *names).orderBy("t").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    answers = single.withColumn("state", F.last("state", ignorenulls=True).over(upto))
+    if names:
+        incoming = _incoming(points.filter("hot"), names)
+        answers = answers.join(incoming, ["k", *names], "left").withColumn(
+            "state", F.coalesce("state", "incoming"))
+
+    answers = answers.filter("wanted").select(
         F.col("k").alias(key), F.col("t").alias(left_time), "state")
     matched = left.join(answers, [key, left_time], "left")
     others = [c for c in left.columns if c not in payload]
     return matched.select(*others, *[F.col("state")[c].alias(c) for c in payload])
 
 
-def _carry(points: DataFrame, levels: list[str]) -> DataFrame:
-    """Fill ``state`` at every point with the last one known at or before it."""
-    groups = ["k", *levels]
-    upto = Window.partitionBy(*groups).orderBy("t").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    filled = points.withColumn("state", F.last("state", ignorenulls=True).over(upto))
-    if not levels:
-        return filled
-    incoming = _incoming(points, levels)
-    return filled.join(incoming, groups, "left").withColumn(
-        "state", F.coalesce("state", "incoming")).drop("incoming")
-
-
-def _incoming(points: DataFrame, levels: list[str]) -> DataFrame:
-    """State at the start of every group in which a point is wanted."""
-    groups = ["k", *levels]
-    outer, finest = groups[:-1], groups[-1]
-    ends = points.groupBy(*groups).agg(
-        F.max("wanted").alias("wanted"),
-        F.max_by("state", F.when(F.col("state").isNotNull(), F.col("t"))).alias("state"))
+def _hot_keys(points: DataFrame, floor: int) -> DataFrame:
+    """Keys with more than one in MAX_HOT_KEYS of all rows, hence at most that many."""
+    sizes = points.groupBy("k").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).scalar()
+    limit = F.greatest(total / MAX_HOT_KEYS, F.lit(floor))
+    return sizes.filter(F.col("n") > limit).select("k", F.lit(True).alias("hot"))
+
+
+def _incoming(points: DataFrame, grains: list[str]) -> DataFrame:
+    """State at the start of every group of a hot key in which a point is wanted."""
+    last = F.when(~F.col("wanted"), F.struct("t", "rank"))
+    ends = points.groupBy("k", *grains).agg(
+        F.max("wanted").alias("wanted"), F.max_by("state", last).alias("state"))
+    return _starts(ends, grains)
+
+
+def _starts(ends: DataFrame, grains: list[str]) -> DataFrame:
+    """Carry the states at the ends of groups to the starts of later ones."""
+    *outer, finest = ["k", *grains]
     before = Window.partitionBy(*outer).orderBy(finest).rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.withColumn("incoming", F.last("state", ignorenulls=True).over(before))
-    if len(levels) > 1:
-        above = _incoming(ends.withColumnRenamed(finest, "t"), levels[:-1])
-        above = above.withColumnRenamed("incoming", "earlier")
+    if len(grains) > 1:
+        known = F.when(F.col("state").isNotNull(), F.col(finest))
+        coarser = ends.groupBy(*outer).agg(
+            F.max("wanted").alias("wanted"), F.max_by("state", known).alias("state"))
+        above = _starts(coarser, grains[:-1]).withColumnRenamed("incoming", "earlier")
         starts = starts.join(above, outer, "left").withColumn(
             "incoming", F.coalesce("incoming", "earlier"))
-    return starts.filter("wanted").select(*groups, "incoming")
+    return starts.filter("wanted").select("k", *grains, "incoming")

@@ -148,7 +148,8 @@ API = {
                           ("Jan 01, 2030", "€105.35m", "Ten"),
                           ("Jul 01, 2022", "€1.20bn", "Twenty")])],
         2024: [values(1, None), values(2, [("Jan 05, 2022", "€500Th", "Twenty")]),
-               values(3, []), values(8, [("Jan 05, 2022", "£1.00m", "Nowhere")])]},
+               values(3, []), values(8, [("Jan 05, 2022", "£1.00m", "Nowhere")])],
+        2025: [{"player_id": 2, "response": "null"}]},
     "transfers": {
         2023: [moves(1, [("2021-07-01", 10, 20, "€1.50m", "€350k"),
                          ("2022-01-01", 20, None, "free transfer", "-"),

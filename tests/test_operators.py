@@ -19,8 +19,9 @@ def brute_asof(left, right):
     return out
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_asof_join_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("floor", [0, 60, 100_000])
+@pytest.mark.parametrize("seed", range(2))
+def test_asof_join_equals_brute_force(spark, seed, floor):
     rng = random.Random(seed)
     start = datetime(2024, 1, 30, 23, 50)
 
@@ -33,7 +34,7 @@ def test_asof_join_equals_brute_force(spark, seed):
     right = [(i, rng.choice(keys), moment(), rng.choice([None, i])) for i in range(80)]
     lf = spark.createDataFrame(left, "i int, k int, t timestamp")
     rf = spark.createDataFrame(right, "n int, k int, s timestamp, v int")
-    got = asof_join(lf, rf, "k", "t", "s", ["n", "v"], [F.col("n")], TIMESTAMP_GRAINS)
+    got = asof_join(lf, rf, "k", "t", "s", ["n", "v"], [F.col("n")], TIMESTAMP_GRAINS, floor)
     assert {r.i: (r.n, r.v) for r in got.collect()} == brute_asof(left, right)
 
 
@@ -43,7 +44,7 @@ def test_asof_join_by_date_over_years(spark):
     lf = spark.createDataFrame(left, "i int, k int, t date")
     rf = spark.createDataFrame(right, "n int, k int, s date, v int")
     for grains in (DATE_GRAINS, ()):
-        got = asof_join(lf, rf, "k", "t", "s", ["n", "v"], [F.col("n")], grains)
+        got = asof_join(lf, rf, "k", "t", "s", ["n", "v"], [F.col("n")], grains, 0)
         assert {r.i: (r.n, r.v) for r in got.collect()} == brute_asof(left, right)
 
 

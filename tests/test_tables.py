@@ -182,7 +182,7 @@ def test_report(spark, tables, raw):
     assert rows["unique", "game_lineups", "game_lineups_id"].failures == 1
     assert rows["row_count", "games", "*"].failures == 1
     assert rows["row_count", "games", "*"].detail == "6"
-    assert rows["null_responses", "raw.market_values", "response"].failures == 1
+    assert rows["null_responses", "raw.market_values", "response"].failures == 2
     assert rows["null_responses", "raw.market_values", "response"].severity == "warn"
     assert rows["lost_history", "base_transfers", "player_id"].failures == 0
     assert rows["columns_contain", "players", "*"].failures == 0
