@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from graphlib import TopologicalSorter
 
@@ -103,8 +104,8 @@ def read_sources(spark: SparkSession, scraper_root: str, api_root: str, plain_ro
     return raw
 
 
-def build_order(targets: Iterable[str] = tuple(CURATED)) -> list[str]:
-    """Tables needed for the targets, inputs first."""
+def _edges(targets: Iterable[str]) -> dict[str, list[str]]:
+    """Tables needed for the targets, each with the tables it reads."""
     edges: dict[str, list[str]] = {}
     waiting = list(targets)
     while waiting:
@@ -112,7 +113,18 @@ def build_order(targets: Iterable[str] = tuple(CURATED)) -> list[str]:
         if name not in edges:
             edges[name] = [i for i in TABLES[name].inputs if i in TABLES]
             waiting += edges[name]
-    return list(TopologicalSorter(edges).static_order())
+    return edges
+
+
+def build_order(targets: Iterable[str] = tuple(CURATED)) -> list[str]:
+    """Tables needed for the targets, inputs first."""
+    return list(TopologicalSorter(_edges(targets)).static_order())
+
+
+def _build(name: str, known: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
+    table = TABLES[name]
+    inputs = [known[i] for i in table.inputs]
+    return table.build(*inputs, settings) if table.with_settings else table.build(*inputs)
 
 
 def plan(raw: Mapping[str, DataFrame], targets: Iterable[str] = tuple(CURATED),
@@ -121,26 +133,38 @@ def plan(raw: Mapping[str, DataFrame], targets: Iterable[str] = tuple(CURATED),
     """DataFrames of the targets and of all tables below them.
 
     ``keep`` sees every table once it is planned and returns what later tables read: the
-    plan itself by default, a written copy in ``run``.
+    plan itself by default, or a written copy.
     """
     known = dict(raw)
     built = {}
     for name in build_order(targets):
-        table = TABLES[name]
-        inputs = [known[i] for i in table.inputs]
-        df = table.build(*inputs, settings) if table.with_settings else table.build(*inputs)
-        built[name] = known[name] = keep(name, df)
+        built[name] = known[name] = keep(name, _build(name, known, settings))
     return built
 
 
 def run(raw: Mapping[str, DataFrame], root: str, targets: Iterable[str] = tuple(CURATED),
-        settings: Settings = Settings()) -> dict[str, DataFrame]:
+        settings: Settings = Settings(), threads: int = 4) -> dict[str, DataFrame]:
     """Build and write the tables below a shared folder.
 
     Every table is written once and read back by the tables that follow, so raw text is
-    parsed once per source and a lost executor costs at most the table being written.
+    parsed once per table and a lost executor costs at most the tables being written.
+    Tables that do not depend on each other are submitted at the same time.
     """
-    return plan(raw, targets, settings, lambda name, df: write_table(df, f"{root}/{name}"))
+    known = dict(raw)
+    built: dict[str, DataFrame] = {}
+    graph = TopologicalSorter(_edges(targets))
+    graph.prepare()
+    with ThreadPoolExecutor(threads) as pool:
+        running = {}
+        while graph.is_active():
+            for name in graph.get_ready():
+                df = _build(name, known, settings)
+                running[pool.submit(write_table, df, f"{root}/{name}")] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name = running.pop(future)
+                built[name] = known[name] = future.result()
+                graph.done(name)
+    return built
 
 
 def export(tables: Mapping[str, DataFrame], target: str, disabled: Iterable[str] = ()) -> None:
