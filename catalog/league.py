@@ -11,7 +11,7 @@ from catalog import query
 from pitchlake.operators import quality as q
 from pitchlake.plans.checks import history_checks, league_checks
 from pitchlake.plans.settings import Settings
-from pitchlake.plans.warehouse import TABLES, plan
+from pitchlake.plans.warehouse import BASE, CURATED, TABLES, plan
 from pitchlake.session import scratch
 from pitchlake.sinks.writers import write_table
 from pitchlake.sources.snapshots import widen
@@ -640,7 +640,7 @@ def _register(table: str) -> None:
         return plan(_raw(t, table), [table], SETTINGS, keep)[table]
 
 
-for _table in TABLES:
+for _table in (*BASE, *CURATED):
     _register(_table)
 
 

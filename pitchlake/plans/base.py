@@ -1,7 +1,9 @@
 """Base tables: typed, one row per entity, newest usable snapshot.
 
-Each builder takes raw rows ``(value, season, filename)``. The only shuffle of a builder
+Most builders take raw rows ``(value, season, filename)``. The only shuffle of a builder
 is the one that picks a snapshot per entity; lists are expanded behind it, within the row.
+Sources that feed two tables, games and line-ups, have a step of their own, so that they
+are parsed and shuffled once.
 """
 
 from __future__ import annotations
@@ -149,22 +151,29 @@ def players(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
         _url(settings))
 
 
-def formations(raw_lineups: DataFrame) -> DataFrame:
-    rows = parse(raw_lineups, layouts.FORMATIONS).withColumn(
-        "game_id", to_int(F.col("game_id")))
-    return newest_snapshot(rows, ["game_id"]).select(
-        "game_id",
-        _links("home_club", "formation").alias("home_club_formation"),
-        _links("away_club", "formation").alias("away_club_formation"))
-
-
-def games(raw: DataFrame, raw_lineups: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def newest_games(raw: DataFrame) -> DataFrame:
+    """Newest record of every game, from which games and their events are built."""
     parent = _links("parent", "href")
     date = dates.era_date(F.col("date"), F.col("season"), parent.contains(TOURNAMENT_LINK))
     rows = parse(raw, layouts.GAMES).withColumns(
         {"game_id": href_id(F.col("href")), "date": date})
-    # An undated newest snapshot drops the game, so the date is tested behind the pick.
-    newest = newest_snapshot(rows, ["game_id"]).filter(F.col("date").isNotNull())
+    return newest_snapshot(rows, ["game_id"]).drop("filename", "line_hash")
+
+
+def newest_lineups(raw: DataFrame) -> DataFrame:
+    """Newest line-up record of every game, from which formations and players are taken."""
+    rows = parse(raw, layouts.GAME_LINEUPS).withColumn("game_id", to_int(F.col("game_id")))
+    return newest_snapshot(rows, ["game_id"]).drop("filename", "line_hash")
+
+
+def games(records: DataFrame, lineups: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    formations = lineups.select(
+        "game_id",
+        _links("home_club", "formation").alias("home_club_formation"),
+        _links("away_club", "formation").alias("away_club_formation"))
+    # An undated newest record drops the game: the date is tested behind the pick.
+    newest = records.filter(F.col("date").isNotNull())
+    parent = _links("parent", "href")
     score = F.col("result")
     sheet = newest.select(
         "game_id",
@@ -184,12 +193,10 @@ def games(raw: DataFrame, raw_lineups: DataFrame, settings: Settings = Settings(
         match.attendance(F.col("attendance")).alias("attendance"),
         "referee",
         _url(settings))
-    return sheet.join(formations(raw_lineups), "game_id", "left")
-
+    return sheet.join(formations, "game_id", "left")
 
-def game_events(raw: DataFrame) -> DataFrame:
-    rows = parse(raw, layouts.GAME_EVENTS).withColumn("game_id", href_id(F.col("href")))
 
+def game_events(records: DataFrame) -> DataFrame:
     def typed(event: Column) -> Column:
         action = event["action"]
         return F.struct(
@@ -203,14 +210,11 @@ def game_events(raw: DataFrame) -> DataFrame:
             href_id(action["player_assist"]["href"]).alias("player_assist_id"))
 
     # All events of a game sit in one row, so equal ones are dropped there.
-    newest = newest_snapshot(rows, ["game_id"])
-    events = explode_distinct(newest, F.transform("events", typed), "event")
+    events = explode_distinct(records, F.transform("events", typed), "event")
     return events.select("game_id", "event.*")
 
 
-def game_lineups(raw: DataFrame) -> DataFrame:
-    rows = parse(raw, layouts.GAME_LINEUPS).withColumn("game_id", to_int(F.col("game_id")))
-
+def game_lineups(records: DataFrame) -> DataFrame:
     def leg(side: str, part: str) -> Column:
         club = href_id(_links(side, "href"))
         return F.transform(
@@ -221,7 +225,7 @@ def game_lineups(raw: DataFrame) -> DataFrame:
     legs = F.concat(*[leg(side, part) for side in ("home_club", "away_club")
                       for part in ("starting_lineup", "substitutes")])
     # Equal entries can only come from the same game, which is one row here.
-    entries = explode_distinct(newest_snapshot(rows, ["game_id"]), legs, "entry")
+    entries = explode_distinct(records, legs, "entry")
     player = F.from_json("entry.player", layouts.LINEUP_PLAYER)
     return entries.select("game_id", "entry.club_id", "entry.type", player.alias("p")).select(
         "game_id", "club_id", "type",

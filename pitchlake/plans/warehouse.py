@@ -46,15 +46,20 @@ def _curated(build: Callable, *inputs: str, order: tuple = ()) -> Table:
     return Table(inputs, build, order)
 
 
+NEWEST = {
+    "newest_games": _base(base.newest_games, "raw.games", settings=False),
+    "newest_lineups": _base(base.newest_lineups, "raw.game_lineups", settings=False),
+}
+
 BASE = {
     "base_competitions": _base(base.competitions, "raw.competitions"),
     "base_countries": _base(base.countries, "raw.countries"),
     "base_national_teams": _base(base.national_teams, "raw.national_teams"),
     "base_clubs": _base(base.clubs, "raw.clubs"),
     "base_players": _base(base.players, "raw.players"),
-    "base_games": _base(base.games, "raw.games", "raw.game_lineups"),
-    "base_game_events": _base(base.game_events, "raw.games", settings=False),
-    "base_game_lineups": _base(base.game_lineups, "raw.game_lineups", settings=False),
+    "base_games": _base(base.games, "newest_games", "newest_lineups"),
+    "base_game_events": _base(base.game_events, "newest_games", settings=False),
+    "base_game_lineups": _base(base.game_lineups, "newest_lineups", settings=False),
     "base_appearances": _base(base.appearances, "raw.appearances", "base_games"),
     "base_market_values": _base(base.market_values, "raw.market_values"),
     "base_transfers": _base(base.transfers, "raw.transfers", settings=False),
@@ -87,7 +92,7 @@ CURATED = {
 }
 
 
-TABLES = {**BASE, **CURATED}
+TABLES = {**NEWEST, **BASE, **CURATED}
 
 
 def read_sources(spark: SparkSession, scraper_root: str, api_root: str, plain_root: str,

@@ -17,23 +17,18 @@ GAMES = """
     home_club struct<href: string>, away_club struct<href: string>, result string,
     home_club_position string, away_club_position string,
     home_manager struct<name: string>, away_manager struct<name: string>,
-    stadium string, attendance string, referee string"""
-
-GAME_EVENTS = """
-    href string,
+    stadium string, attendance string, referee string,
     events array<struct<
         minute: string, type: string, club: struct<href: string, name: string>,
         player: struct<href: string>,
         action: struct<description: string, player_in: struct<href: string>,
                        player_assist: struct<href: string>>>>"""
 
-LINEUP_SIDE = "struct<href: string, starting_lineup: array<string>, substitutes: array<string>>"
+LINEUP_SIDE = """struct<
+    href: string, formation: string, starting_lineup: array<string>, substitutes: array<string>>"""
 GAME_LINEUPS = f"game_id string, home_club {LINEUP_SIDE}, away_club {LINEUP_SIDE}"
 LINEUP_PLAYER = "number string, href string, name string, team_captain string, position string"
 
-FORMATIONS = """
-    game_id string, home_club struct<formation: string>, away_club struct<formation: string>"""
-
 PLAYERS = """
     href string, parent struct<type: string, href: string>, current_club struct<href: string>,
     name string, last_name string, code string,

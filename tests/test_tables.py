@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from pitchlake.plans.contracts import CONTRACTS
-from pitchlake.plans.warehouse import CURATED, BASE
+from pitchlake.plans.warehouse import TABLES
 
 
 def by(df, key, *columns):
@@ -15,7 +15,7 @@ def by(df, key, *columns):
 
 
 def test_all_tables_are_built(tables):
-    assert set(tables) == set(BASE) | set(CURATED)
+    assert set(tables) == set(TABLES)
 
 
 @pytest.mark.parametrize("name", list(CONTRACTS))
