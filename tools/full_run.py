@@ -43,7 +43,7 @@ def main():
     stage("derive raw files")
     raw = {f"raw.{n}": read_snapshots(spark, f"{work}/raw/{n}/*/*") for n in SOURCES}
     tables = run(raw, f"{work}/tables", settings=SETTINGS)
-    stage("build 23 tables")
+    stage("build")
     failed = warehouse_report(tables, raw, F.lit(SETTINGS.as_of).cast("date")).filter(
         "failures > 0").count()
     stage("check")
