@@ -169,7 +169,7 @@ class Store:
     def create(self, name: str):
         system, path = self._place(name)
         system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return system.open_output_stream(path)
+        return system.open_output_stream(path, compression=None)
 
     def open(self, name: str):
         system, path = self._place(name)
