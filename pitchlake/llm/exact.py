@@ -77,17 +77,17 @@ def seen(spark: SparkSession, state: str) -> DataFrame:
                        first["locator"].alias("locator"), n.alias("n"))
 
 
-def unequal(docs: DataFrame, known: DataFrame, text_col: str,
+def unequal(docs: DataFrame, text_col: str,
             digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """Digests that stand for more than one text, by comparing whole texts of all hits.
 
     The smallest and the largest text of a digest are equal only if all are. Both are reduced
-    within each task, so a group of any size sends two texts per task at most.
+    within each task before the shuffle, so a group of any size sends two texts per task at
+    most, and a text without a hit is equal to itself.
     """
     text = normalised(text_col)
-    hits = docs.select(digest(text).alias("digest"), text.alias("text")).join(
-        known.filter("n > 1").select("digest"), "digest", "left_semi")
-    return (hits.groupBy("digest").agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
+    return (docs.select(digest(text).alias("digest"), text.alias("text")).groupBy("digest")
+            .agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
             .filter("lo <> hi").select("digest"))
 
 
@@ -110,7 +110,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         known = _empty_state(spark.read.parquet(folder))
     new = spark.read.parquet(folder)
     out = new.join(known.select("digest", "keep_id", "n"), "digest", "left")
-    bad = settle(unequal(docs, known, text_col, digest), "collisions")
+    bad = settle(unequal(docs, text_col, digest), "collisions")
     if not bad.isEmpty():
         out = _by_text(docs, out, bad, id_col, text_col, digest)
     return out.select(
