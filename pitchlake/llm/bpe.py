@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -33,8 +34,13 @@ from pitchlake.llm.common import query, table
 # Fixed value: the pattern of byte-level BPE.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
           r"|\s+(?!\S)|\s+")
-# Pieces whose ids a worker remembers before it starts over; results do not depend on it.
-REMEMBERED = 200_000
+# Chunks, pieces and pairs that a worker remembers before it starts over, and their longest
+# length; results do not depend on it.
+REMEMBERED = 300_000
+REMEMBERED_LENGTH = 64
+# White space of any kind; a space beside it cannot be told from it without a closer look.
+BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+ASCII_BLANKS = [c for c in BLANKS if c.isascii()]
 NEVER = 1 << 60
 
 
@@ -69,12 +75,30 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(tokens, merges, special)
 
 
+class Remembered(dict):
+    """Results of a function, forgotten all at once when there are too many."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key):
+        value = self.of(key)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(key) <= REMEMBERED_LENGTH:
+            self[key] = value
+        return value
+
+
 @dataclass
 class Encoder:
     vocabulary: Vocabulary
-    known: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self):
+        self.pieces = Remembered(self._piece)
+        self.chunks = Remembered(lambda c: self._cut(" " + c))
+        self.breaks = Remembered(lambda pair: self._crossed(*pair, NEVER))
         v = self.vocabulary
         self.rank = {(a, b): r for r, (a, b, _) in reversed(list(enumerate(v.merges)))}
         self.parts = {}
@@ -84,8 +108,10 @@ class Encoder:
         self.left = {t: self._spine(t, 0) for t in v.tokens}
         special = set(v.special.values())
         self.automaton = ahocorasick.Automaton()
+        self.bytes = {raw[0]: t for t, raw in v.tokens.items()
+                      if len(raw) == 1 and t not in special}
         for t, raw in v.tokens.items():
-            if t not in special and self._stands(t):
+            if t not in special and len(raw) > 1 and self._stands(t):
                 self.automaton.add_word(raw.decode("latin-1"), (t, len(raw)))
         self.automaton.make_automaton()
         self.pattern = regex.compile(PIECES)
@@ -130,45 +156,53 @@ class Encoder:
         return self._stands(a) and self._stands(b) and not self._crossed(a, b, rank)
 
     def piece(self, raw: bytes) -> list[int]:
-        """Ids of one piece."""
-        last: list[int] = [-1] * (len(raw) + 1)
-        size = [0] * (len(raw) + 1)
+        """Ids of one piece.
+
+        The token of a single byte is the last one where no longer token is.
+        """
+        breaks = self.breaks
+        last = [0, *map(self.bytes.__getitem__, raw)]
+        size = [1] * len(last)
         for end, (token, length) in self.automaton.iter(raw.decode("latin-1")):
-            end += 1
-            if last[end] >= 0:
-                continue
-            before = end - length
-            if not before or last[before] >= 0 and not self._crossed(
-                    last[before], token, NEVER):
-                last[end], size[end] = token, length
+            if size[end + 1] == 1:
+                before = end + 1 - length
+                if not before or not breaks[last[before], token]:
+                    last[end + 1], size[end + 1] = token, length
         ids, at = [], len(raw)
         while at:
             ids.append(last[at])
             at -= size[at]
         return ids[::-1]
 
+    def _piece(self, text: str) -> bytes:
+        ids = self.piece(text.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def packed(self, text: str | None) -> bytes:
         """Ids of a text as little-endian 32-bit numbers."""
         out, start = [], 0
         if text:
             for hit in self.cut.finditer(text):
-                self._plain(text[start:hit.start()], out)
+                out.append(self._plain(text[start:hit.start()]))
                 out.append(self.vocabulary.special[hit.group()].to_bytes(4, "little"))
                 start = hit.end()
-            self._plain(text[start:] if start else text, out)
+            out.append(self._plain(text[start:] if start else text))
         return b"".join(out)
 
-    def _plain(self, text: str, out: list[bytes]) -> None:
-        known = self.known
-        for piece in self.pattern.findall(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = np.array(self.piece(piece.encode()), "<u4").tobytes()
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(piece) <= 64:
-                    known[piece] = ids
-            out.append(ids)
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens.
+
+        A space between two other characters that are not white space always starts a piece,
+        so a text whose spaces are all of this kind is a sequence of independent chunks.
+        """
+        for blank in ASCII_BLANKS if text.isascii() else BLANKS:
+            if blank + " " in text or " " + blank in text:
+                return self._cut(text)
+        first, *chunks = text.split(" ")
+        return self._cut(first) + b"".join(map(self.chunks.__getitem__, chunks))
+
+    def _cut(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def text(self, ids) -> str:
         """Text of ids; bytes that are not UTF-8 become replacement characters."""
