@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pitchlake.llm.common import held_out, query, table
 
 CONTEXT = 4
-# Most documents per language that the statistics are learnt from.
-SAMPLE = 1_500
+# Most documents per language that the statistics are learnt from. Spark picks up to 1,000 rows
+# of a group within each task before it shuffles, however large the group.
+SAMPLE = 1_000
 # Most languages; bounds what is sent to the workers.
 LANGUAGES = 256
 # Bytes scored at once; longer texts are scored in pieces that know the bytes before them.
