@@ -355,7 +355,11 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     originals = found.filter("kind = 'response' and n >= %d" % REVISIT_BYTES).groupBy(
         F.col("page_id").alias("refers_to")).agg(
             F.max("n").alias("__n"), F.max("sha1").alias("__sha1"))
-    return found.join(originals, "refers_to", "left").select(
-        "page_id", F.coalesce("n", "__n").alias("payload_bytes"),
-        F.coalesce("sha1", "__sha1").alias("payload_digest"),
+    # Responses have nothing to look up; joined along, they would all meet at the null key.
+    responses = found.filter("kind = 'response'").select(
+        "page_id", F.col("n").alias("payload_bytes"), F.col("sha1").alias("payload_digest"),
         F.col("kind").alias("record_type"), "refers_to")
+    revisits = found.filter("kind = 'revisit'").join(originals, "refers_to", "left").select(
+        "page_id", F.col("__n").alias("payload_bytes"), F.col("__sha1").alias("payload_digest"),
+        F.col("kind").alias("record_type"), "refers_to")
+    return responses.unionByName(revisits)
