@@ -141,7 +141,7 @@ class Trees:
 def grow(counts: pd.DataFrame) -> Trees:
     """Trees from the counts of whole windows: columns lang, key, n."""
     languages = sorted(counts["lang"].unique())
-    which = counts["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy()
+    which = counts["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy(int)
     keys, n = counts["key"].to_numpy().astype(np.uint64), counts["n"].to_numpy(float)
     trees = Trees(languages, [], [], [], [])
     shorter = None

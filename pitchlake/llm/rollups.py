@@ -16,9 +16,8 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitchlake.llm.common import query, settle, table, text_of
 from pitchlake.session import scratch
@@ -26,11 +25,9 @@ from pitchlake.session import scratch
 KEY = ["doc_id", "version"]
 VALUE = ["source", "lang", "tokens"]
 TOTAL = ["source", "lang", "version"]
-LEDGER = StructType.fromDDL(
-    "doc_id long, version string, source string, lang string, tokens long, batch long")
-DELTAS = StructType.fromDDL(
-    "source string, lang string, version string, docs long, tokens long, batch long")
-COMMITS = StructType.fromDDL("batch long, name string")
+LEDGER = "doc_id long, version string, source string, lang string, tokens long, batch long"
+DELTAS = "source string, lang string, version string, docs long, tokens long, batch long"
+COMMITS = "batch long, name string"
 
 
 class Rollup:
@@ -39,7 +36,7 @@ class Rollup:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _read(self, part: str, schema: StructType) -> DataFrame:
+    def _read(self, part: str, schema: str) -> DataFrame:
         """Rows of a part; a part that nothing has been written to has none."""
         try:
             return self.spark.read.schema(schema).parquet(f"{self.folder}/{part}/*")
@@ -52,7 +49,7 @@ class Rollup:
         """Names of committed batches and their numbers: one row per commit."""
         return {r["name"]: r["batch"] for r in self._read("commits", COMMITS).collect()}
 
-    def _committed(self, part: str, schema: StructType, upto: int) -> DataFrame:
+    def _committed(self, part: str, schema: str, upto: int) -> DataFrame:
         return self._read(part, schema).filter(F.col("batch") < upto)
 
     def commit(self, name: str, changes: DataFrame) -> bool:
@@ -85,9 +82,9 @@ class Rollup:
         self._write("commits", COMMITS, number, record)
         return True
 
-    def _write(self, part: str, schema: StructType, number: int, rows: DataFrame) -> None:
+    def _write(self, part: str, schema: str, number: int, rows: DataFrame) -> None:
         rows = rows.withColumn("batch", F.lit(number)).select(
-            *[F.col(f.name).cast(f.dataType) for f in schema])
+            *[F.col(name).cast(kind) for name, kind in map(str.split, schema.split(", "))])
         rows.write.mode("overwrite").parquet(f"{self.folder}/{part}/{number:012d}")
 
     def totals(self) -> DataFrame:
