@@ -36,7 +36,7 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
           r"|\s+(?!\S)|\s+")
 # Chunks, pieces and pairs that a worker remembers before it starts over, and their longest
 # length; results do not depend on it.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 REMEMBERED_LENGTH = 64
 # White space of any kind; a space beside it cannot be told from it without a closer look.
 BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
@@ -205,9 +205,13 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
     def text(self, ids) -> str:
-        """Text of ids; bytes that are not UTF-8 become replacement characters."""
-        tokens = self.vocabulary.tokens
-        return b"".join([tokens[i] for i in ids]).decode("utf-8", "replace")
+        return text_of_ids(self.vocabulary, ids)
+
+
+def text_of_ids(vocabulary: Vocabulary, ids) -> str:
+    """Text of ids; bytes that are not UTF-8 become replacement characters."""
+    tokens = vocabulary.tokens
+    return b"".join([tokens[i] for i in ids]).decode("utf-8", "replace")
 
 
 _encoders: dict[str, Encoder] = {}
@@ -246,12 +250,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
 
 def decoder(spark: SparkSession, path: str):
     """Column function from ids to text."""
-    shared, name = _share(spark, path)
+    shared, _ = _share(spark, path)
 
     @F.pandas_udf("string")
     def decode(ids: pd.Series) -> pd.Series:
-        encoder = _encoder(shared, name)
-        return pd.Series([encoder.text(i.tolist()) for i in ids], dtype=object)
+        vocabulary = shared.value
+        return pd.Series([text_of_ids(vocabulary, i.tolist()) for i in ids], dtype=object)
     return decode
 
 
