@@ -216,7 +216,7 @@ def clean_projection(t):
     no_small = F.nullif(kind, F.lit("SMALL"))
     return kept.select(
         "p_partkey",
-        F.concat(F.upper(F.left(name, F.lit(1))), F.substring(name, 2, 100)).alias("title"),
+        F.concat(F.upper(F.left(name, F.lit(1))), F.substring(name, F.lit(2), F.length(name))).alias("title"),
         F.left(kind, F.lit(3)).alias("head"), F.right(kind, F.lit(2)).alias("tail"),
         F.substring(name, 3, 4).alias("middle"),
         F.length(name).cast("long").alias("name_length"),

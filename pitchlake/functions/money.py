@@ -36,7 +36,7 @@ def market_value(text: Column, factors: Mapping[str, float] = MARKET_VALUE_FACTO
 
 def transfer_amount(text: Column, free: str | None = None) -> Column:
     """Fee or value of a transfer: unknown is NULL, other wording counts as nothing paid."""
-    scaled = F.substring(text, 2, 2_000_000).try_cast(FEE_TYPE)
+    scaled = F.substring(text, F.lit(2), F.length(text)).try_cast(FEE_TYPE)
     for suffix, factor in FEE_FACTORS.items():
         body = F.substring(text, F.lit(2), F.length(text) - 2).try_cast(FEE_TYPE)
         scaled = F.when(F.right(text, F.lit(1)) == suffix,

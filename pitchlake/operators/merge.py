@@ -27,13 +27,6 @@ JSON_FIELDS = {
     "national_team_players": ["parent"],
 }
 
-# Assets that follow from a restriction of each kind.
-SCOPED_ASSETS = {
-    "competitions": ["clubs", "players", "appearances", "games", "game_lineups"],
-    "clubs": ["players", "appearances"],
-    "players": ["appearances"],
-}
-
 
 def _nested(df: DataFrame, parent: str, field: str) -> Column:
     """A nested field, whether the parent is a struct or was forced to JSON text."""
