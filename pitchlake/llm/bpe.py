@@ -27,15 +27,14 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
 
 from pitchlake.llm.common import query, table
 
 # Fixed value: the pattern of byte-level BPE.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
           r"|\s+(?!\S)|\s+")
-# Chunks, pieces and pairs that a worker remembers before it starts over, and their longest
-# length; results do not depend on it.
+# Chunks, pieces and pairs of one generation that a worker remembers, and their longest length;
+# results do not depend on it.
 REMEMBERED = 100_000
 REMEMBERED_LENGTH = 64
 # White space of any kind; a space beside it cannot be told from it without a closer look.
@@ -76,15 +75,19 @@ def read_vocabulary(path: str) -> Vocabulary:
 
 
 class Remembered(dict):
-    """Results of a function, forgotten all at once when there are too many."""
+    """Results of a function, in two generations: what a full generation asked for stays
+    until the next one is full."""
 
     def __init__(self, of):
         super().__init__()
-        self.of = of
+        self.of, self.older = of, {}
 
     def __missing__(self, key):
-        value = self.of(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.of(key)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
         if len(key) <= REMEMBERED_LENGTH:
             self[key] = value
@@ -97,7 +100,7 @@ class Encoder:
 
     def __post_init__(self):
         self.pieces = Remembered(self._piece)
-        self.chunks = Remembered(lambda c: self._cut(" " + c))
+        self.chunks = Remembered(self._chunk)
         self.breaks = Remembered(lambda pair: self._crossed(*pair, NEVER))
         v = self.vocabulary
         self.rank = {(a, b): r for r, (a, b, _) in reversed(list(enumerate(v.merges)))}
@@ -201,6 +204,12 @@ class Encoder:
         first, *chunks = text.split(" ")
         return self._cut(first) + b"".join(map(self.chunks.__getitem__, chunks))
 
+    def _chunk(self, text: str) -> bytes:
+        """Ids of a space and the chunk behind it; letters alone are one piece with it."""
+        if text.isascii() and text.isalpha():
+            return self._piece(" " + text)
+        return self._cut(" " + text)
+
     def _cut(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
@@ -232,20 +241,41 @@ def _share(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(vocabulary), name
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """One row per input row: id and ids, an array of int."""
+def _by_text(docs: DataFrame, path: str, id_col: str, text_col: str, results,
+             kinds: str) -> DataFrame:
+    """One row per input row: id, and what ``results`` makes of an encoder and a text."""
     shared, name = _share(docs.sparkSession, path)
+    columns = [kind.split()[0] for kind in kinds.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared, name)
         for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "ids": [
-                np.frombuffer(encoder.packed(t), "<i4") for t in frame["text"]]})
+            made = zip(*[results(encoder, t) for t in frame["text"]])
+            yield pd.DataFrame({"id": frame["id"]} | {
+                c: pd.Series(list(v), index=frame.index) for c, v in zip(columns, made)},
+                columns=["id", *columns])
 
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    return named.mapInPandas(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return named.mapInPandas(run, f"id {kind}, {kinds}").withColumnRenamed("id", id_col)
+
+
+def _ids(encoder: Encoder, text: str | None) -> tuple:
+    return (np.frombuffer(encoder.packed(text), "<i4"),)
+
+
+def _digests(encoder: Encoder, text: str | None) -> tuple:
+    """Number and digest of the ids, and digest of the text that they are decoded to."""
+    packed = encoder.packed(text)
+    decoded = encoder.text(np.frombuffer(packed, "<u4").tolist())
+    return (len(packed) // 4, hashlib.sha256(packed).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest())
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """One row per input row: id and ids, an array of int."""
+    return _by_text(docs, path, id_col, text_col, _ids, "ids array<int>")
 
 
 def decoder(spark: SparkSession, path: str):
@@ -259,19 +289,14 @@ def decoder(spark: SparkSession, path: str):
     return decode
 
 
-@F.pandas_udf(StringType())
-def ids_sha256(ids: pd.Series) -> pd.Series:
-    return pd.Series([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i in ids],
-                     dtype=object)
-
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """Number and digest of the ids of every document, and digest of the text they give.
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Number and digest of the ids of every document, and digest of the text they give."""
-    encoded = encode(docs, path)
-    decode = decoder(docs.sparkSession, path)
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        ids_sha256("ids").alias("ids_sha256"), F.sha2(decode("ids"), 256).alias("decoded_sha256"))
+    Encoding and decoding share a pass, so that ids need not leave the worker in between.
+    """
+    return _by_text(docs, path, id_col, text_col, _digests,
+                    "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def byte_bpe() -> str:

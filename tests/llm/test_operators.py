@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -149,6 +150,12 @@ def test_bpe_equals_the_library(docs, none):
         want = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
         assert row["ids"] == want
         assert row["back"] == library.decode(want, skip_special_tokens=False)
+    for row in bpe.digests(docs, bpe.byte_bpe()).join(docs, "doc_id").collect():
+        ids = library.encode(row.text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
     assert bpe.digests(none, bpe.byte_bpe()).count() == 0
 
 
