@@ -18,12 +18,17 @@ def lineage(t):
 
 @query("round_trip_csv", """
     select o_orderkey, o_orderpriority, o_totalprice,
-           case when o_orderkey % 5 = 0 then null else o_orderstatus || ', "' || o_custkey || '"'
-           end as note
+           case o_orderkey % 5 when 0 then null when 1 then '' when 2 then '  a\\b ' || o_custkey || ' '
+               when 3 then 'line' || chr(10) || o_custkey
+               else o_orderstatus || ', "' || o_custkey || '"' end as note
     from orders""")
 def round_trip_csv(t):
-    note = F.when(F.col("o_orderkey") % 5 != 0, F.concat(
-        "o_orderstatus", F.lit(', "'), F.col("o_custkey").cast("string"), F.lit('"')))
+    # NULL, empty text, outer spaces and a backslash, a line break, quotes and a comma.
+    kind, buyer = F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
+    note = (F.when(kind == 0, F.lit(None)).when(kind == 1, F.lit(""))
+            .when(kind == 2, F.concat(F.lit("  a\\b "), buyer, F.lit(" ")))
+            .when(kind == 3, F.concat(F.lit("line\n"), buyer))
+            .otherwise(F.concat("o_orderstatus", F.lit(', "'), buyer, F.lit('"'))))
     table = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", note.alias("note"))
     path = writers.export_csv(table, scratch(t.spark, "orders.csv.gz"), ["o_orderkey"])
     return snapshots.read_table_csv(t.spark, path, table.schema)

@@ -90,6 +90,26 @@ def asof(t):
     return joined.withColumn("value_or_default", F.coalesce("value", F.lit(-1.0)))
 
 
+@query("asof_hot_key", """
+    with e as (select event_id, case when user_id % 10 = 0 then user_id else 1 end as owner,
+                      date_trunc('minute', ts) as moment, event_type, value from events),
+    looks as (select event_id, owner, moment from e where event_type = 'view'),
+    buys as (select owner, moment, max(event_id) as purchase_id, arg_max(value, event_id) as value
+             from e where event_type = 'purchase' group by 1, 2)
+    select l.event_id, l.owner, l.moment, b.purchase_id, b.value
+    from looks l asof left join buys b on l.owner = b.owner and l.moment >= b.moment""")
+def asof_hot_key(t):
+    # One user owns most events, and many of them share a minute.
+    events = t.events.select(
+        "event_id", F.when(F.col("user_id") % 10 == 0, F.col("user_id")).otherwise(F.lit(1)).alias("owner"),
+        F.date_trunc("minute", "ts").alias("moment"), "event_type", "value")
+    looks = events.filter(F.col("event_type") == "view").select("event_id", "owner", "moment")
+    buys = events.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("purchase_id"), "owner", F.col("moment").alias("bought"), "value")
+    return asof_join(looks, buys, "owner", "moment", "bought", ["purchase_id", "value"],
+                     [F.col("purchase_id")], TIMESTAMP_GRAINS)
+
+
 @query("asof_by_date", """
     with states as (select o_custkey, cast(o_orderdate as date) as d, o_orderpriority, o_orderkey
                     from orders where o_orderstatus = 'F'),

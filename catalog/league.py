@@ -14,7 +14,6 @@ from pitchlake.plans.settings import Settings
 from pitchlake.plans.warehouse import BASE, CURATED, TABLES, plan
 from pitchlake.session import scratch
 from pitchlake.sinks.writers import write_table
-from pitchlake.sources.snapshots import widen
 
 SITE = "https://example.org"
 AS_OF = "2024-06-30"
@@ -60,7 +59,8 @@ def _cents(number: Column) -> Column:
 
 def _snapshots(df: DataFrame, seasons: Column, **fields: Column) -> DataFrame:
     """JSON lines, one per season of ``seasons``; fields may use ``season``."""
-    rows = widen(df).select("*", F.explode(seasons).alias("season"))
+    # Generated tables are single files: spread them before they are multiplied.
+    rows = df.repartition(F.monotonically_increasing_id()).select("*", F.explode(seasons).alias("season"))
     record = F.to_json(F.struct(*[c.alias(n.rstrip("_")) for n, c in fields.items()]))
     path = _say("raw/", _text(F.col("season")), "/lines.json")
     return rows.select(record.alias("value"), F.col("season").cast("int").alias("season"),

@@ -66,7 +66,11 @@ def retry_overlay(t):
     failed = first.filter(F.col("response").isNull()).select("o_orderkey")
     again = merge.within(t.orders, failed, "o_orderkey", "o_orderkey").select(
         "o_orderkey", F.when(key % 6 == 0, F.concat(F.lit("retried "), "o_orderstatus")).alias("response"))
-    return merge.retry_overlay(first, again, "o_orderkey", "response")
+    # Every answer comes twice, once more without text and once without a key.
+    empty = again.withColumn("response", F.lit(None).cast("string"))
+    lost = again.withColumn("o_orderkey", F.lit(None).cast(first.schema["o_orderkey"].dataType))
+    answers = again.unionByName(again).unionByName(empty).unionByName(lost)
+    return merge.retry_overlay(first, answers, "o_orderkey", "response")
 
 
 @query("allowlist_supplement", """

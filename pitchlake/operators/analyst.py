@@ -18,8 +18,8 @@ def matching(df: DataFrame, equal: Mapping[str, object]) -> DataFrame:
 
 
 def default_filters(df: DataFrame, tagged: Sequence[str]) -> list[str]:
-    """Columns offered for filtering: the tagged ones, else the first four."""
-    return list(tagged) or df.columns[:4]
+    """Columns offered for filtering: the tagged ones, else all."""
+    return list(tagged) or df.columns
 
 
 def preview(df: DataFrame, equal: Mapping[str, object], order: Sequence[Column],
@@ -71,16 +71,31 @@ def records_delta(df: DataFrame, as_of: Column, date: str | None = "date",
 
 
 def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of rows added, removed, and changed by column, between two builds."""
+    """Number of rows added, removed, and changed by column, between two builds.
+
+    NULL keys are keys. Of a key on several rows, the surplus of one side counts as added or
+    removed, and the greatest rows of both sides are compared, once. One aggregation serves
+    all: a key sends at most one row per task, so hot keys need no split.
+    """
     common = [c for c in old.columns if c in new.columns and c not in keys]
-    left = old.select(*keys, F.struct(*common).alias("a"))
-    right = new.select(*keys, F.struct(*common).alias("b"))
-    joined = left.join(right, list(keys), "full")
-    changed = F.filter(F.array(*[
-        F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), F.lit(c)) for c in common]),
-        lambda c: c.isNotNull())
-    kind = (F.when(F.col("a").isNull(), F.lit("added"))
-            .when(F.col("b").isNull(), F.lit("removed")).otherwise(F.lit("changed")))
-    fields = F.when(kind == "changed", changed).otherwise(F.array(F.lit("*")))
-    return (joined.select(kind.alias("kind"), F.explode(fields).alias("column"))
-            .groupBy("kind", "column").agg(F.count("*").alias("rows")))
+
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        return df.select(*keys, F.lit(is_new).alias("__new"), F.struct(*common).alias("__row"))
+
+    counts = side(old, False).unionByName(side(new, True)).groupBy(*keys).agg(
+        F.count_if(~F.col("__new")).alias("__before"), F.count_if("__new").alias("__after"),
+        F.max(F.when(~F.col("__new"), F.col("__row"))).alias("__a"),
+        F.max(F.when(F.col("__new"), F.col("__row"))).alias("__b"))
+    surplus, both = F.col("__after") - F.col("__before"), F.col("__a").isNotNull() & F.col("__b").isNotNull()
+
+    def found(kind: str, column: str, condition: Column, rows: Column):
+        return F.when(condition, F.struct(
+            F.lit(kind).alias("kind"), F.lit(column).alias("column"), rows.alias("rows")))
+
+    one = F.lit(1).cast("long")
+    kinds = F.array(
+        found("added", "*", surplus > 0, surplus), found("removed", "*", surplus < 0, -surplus),
+        *[found("changed", c, both & ~F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}")), one)
+          for c in common])
+    return (counts.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
+            .groupBy("kind", "column").agg(F.sum("rows").alias("rows")))

@@ -16,24 +16,19 @@ TIMESTAMP_GRAINS: tuple[Grain, ...] = (
     lambda t: F.date_trunc("minute", t),
 )
 
-# A key is hot when it holds more than one row in MAX_HOT_KEYS, so there are never more
-# hot keys than that; below the floor no key is worth splitting.
-MAX_HOT_KEYS = 10_000
-HOT_FLOOR = 100_000
-
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
               payload: Sequence[str], tie: Sequence[Column],
-              grains: Sequence[Grain] = DATE_GRAINS, hot_floor: int = HOT_FLOOR) -> DataFrame:
+              grains: Sequence[Grain] = DATE_GRAINS) -> DataFrame:
     """Left rows with the payload of the key's last right row not later than the left time.
 
     The last row wins whole, a NULL in its payload included. ``tie`` orders right rows of
     the same key and time, the greatest wins.
 
     Points are first reduced to one per key and time, within each input task, so copies of
-    a point cost nothing. Then a window per key carries the last state forward. Hot keys
-    are cut into windows per grain of time, each of which starts from the state that the
-    grains before it have left: no task ever holds all points of a hot key.
+    a point cost nothing. Then a window per key and grain of time carries the last state
+    forward, and each starts from the state that the grains before it have left, one row a
+    grain: no task ever holds all points of a hot key.
     """
     state = F.struct(*[F.col(c) for c in payload])
     empty = F.lit(None).cast(right.select(state.alias("s")).schema["s"].dataType)
@@ -47,17 +42,15 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     points = asked.unionByName(known).filter(F.col("k").isNotNull() & F.col("t").isNotNull())
 
     names = [f"g{i}" for i in range(len(grains))]
-    # The hint is safe: _hot_keys returns at most MAX_HOT_KEYS rows.
-    points = points.join(F.broadcast(_hot_keys(points, hot_floor)), "k", "left")
     points = points.withColumns({
-        name: F.when(F.col("hot"), grain(F.col("t"))) for name, grain in zip(names, grains)})
+        name: grain(F.col("t")) for name, grain in zip(names, grains)})
     single = points.groupBy("k", *names, "t").agg(
         F.max("wanted").alias("wanted"), F.max_by("state", "rank").alias("state"))
     upto = Window.partitionBy("k", *names).orderBy("t").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     answers = single.withColumn("state", F.last("state", ignorenulls=True).over(upto))
     if names:
-        incoming = _incoming(points.filter("hot"), names)
+        incoming = _starts(_ends(single, names), names)
         answers = answers.join(incoming, ["k", *names], "left").withColumn(
             "state", F.coalesce("state", "incoming"))
 
@@ -68,20 +61,11 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right
     return matched.select(*others, *[F.col("state")[c].alias(c) for c in payload])
 
 
-def _hot_keys(points: DataFrame, floor: int) -> DataFrame:
-    """Keys with more than one in MAX_HOT_KEYS of all rows, hence at most that many."""
-    sizes = points.groupBy("k").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    limit = F.greatest(total / MAX_HOT_KEYS, F.lit(floor))
-    return sizes.filter(F.col("n") > limit).select("k", F.lit(True).alias("hot"))
-
-
-def _incoming(points: DataFrame, grains: list[str]) -> DataFrame:
-    """State at the start of every group of a hot key in which a point is wanted."""
-    last = F.when(~F.col("wanted"), F.struct("t", "rank"))
-    ends = points.groupBy("k", *grains).agg(
-        F.max("wanted").alias("wanted"), F.max_by("state", last).alias("state"))
-    return _starts(ends, grains)
+def _ends(single: DataFrame, grains: list[str]) -> DataFrame:
+    """State at the end of every group, and whether a point is wanted in it."""
+    known = F.when(F.col("state").isNotNull(), F.col("t"))
+    return single.groupBy("k", *grains).agg(
+        F.max("wanted").alias("wanted"), F.max_by("state", known).alias("state"))
 
 
 def _starts(ends: DataFrame, grains: list[str]) -> DataFrame:

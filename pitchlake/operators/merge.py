@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pitchlake.functions.keys import joined_key
+from pitchlake.functions.keys import NULL_MARK, joined_key
 from pitchlake.functions.text import last_token
 from pitchlake.operators.snapshot import latest
 
@@ -36,10 +36,11 @@ def _nested(df: DataFrame, parent: str, field: str) -> Column:
 
 
 def record_key(df: DataFrame, asset: str) -> Column:
-    """Key of a record within its asset."""
+    """Key of a record within its asset; missing parts are marked, NULL if all are missing."""
     if asset == "appearances":
-        return joined_key(_nested(df, "parent", "href"), F.col("competition_code"),
-                          F.col("matchday"), F.col("date"))
+        parts = [_nested(df, "parent", "href"), *map(F.col, ("competition_code", "matchday", "date"))]
+        marked = joined_key(*[F.coalesce(p.cast("string"), F.lit(NULL_MARK)) for p in parts])
+        return F.when(F.coalesce(*[p.cast("string") for p in parts]).isNotNull(), marked)
     return F.col("href")
 
 
@@ -62,19 +63,27 @@ def upsert(new: DataFrame, old: DataFrame | None, keys: Mapping[str, Column] | S
 
 
 def merge_asset(new: DataFrame, old: DataFrame | None, asset: str) -> DataFrame:
-    """Upsert of typed records of one asset."""
+    """Upsert of typed records of one asset; records without any key are all kept, once each."""
     if old is None:
         return new
     rows = new.select(F.lit(1).alias("__new"), "*", record_key(new, asset).alias("__key"))
     past = old.select(F.lit(0).alias("__new"), "*", record_key(old, asset).alias("__key"))
     both = rows.unionByName(past, allowMissingColumns=True)
     content = F.xxhash64(F.to_json(F.struct(*[c for c in both.columns if c != "__new"])))
-    return latest(both, ["__key"], F.desc("__new"), content).drop("__new", "__key")
+    both = both.withColumn("__content", content).withColumn(
+        "__alone", F.when(F.col("__key").isNull(), F.col("__content")))
+    return latest(both, ["__key", "__alone"], F.desc("__new"), F.asc("__content")).drop(
+        "__new", "__key", "__content", "__alone")
 
 
 def retry_overlay(first: DataFrame, retry: DataFrame, key: str, value: str) -> DataFrame:
-    """Fill missing values from a second attempt; values already there stay."""
-    again = retry.select(key, F.col(value).alias("__again"))
+    """Fill missing values from a second attempt; values already there stay.
+
+    Of several answers to a key, the first by its JSON text counts, so rows never multiply.
+    """
+    text = F.to_json(F.struct(value))
+    again = retry.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(
+        F.min_by(value, text).alias("__again"))
     return first.join(again, key, "left").withColumn(
         value, F.coalesce(value, "__again")).drop("__again")
 

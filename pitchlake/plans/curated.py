@@ -53,9 +53,10 @@ def players(base_players: DataFrame, base_clubs: DataFrame,
 
 def club_names(base_clubs: DataFrame, base_game_events: DataFrame) -> DataFrame:
     """One name per club: that of the club table, else the smallest seen in events."""
-    known = base_clubs.select("club_id", F.col("name"), F.lit(None).cast("string").alias("seen"))
-    seen = base_game_events.select("club_id", F.lit(None).cast("string").alias("name"),
-                                   F.col("club_name").alias("seen"))
+    known = base_clubs.select("club_id", "name", F.lit(None).cast("string").alias("seen"))
+    # Names are compared among distinct pairs, which each task reduces its events to by hash.
+    seen = base_game_events.select(
+        "club_id", F.lit(None).cast("string").alias("name"), F.col("club_name").alias("seen")).distinct()
     return (known.unionByName(seen).filter(F.col("club_id").isNotNull())
             .groupBy("club_id").agg(F.coalesce(F.max("name"), F.min("seen")).alias("club_name")))
 

@@ -38,10 +38,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors reach, as named by the cluster.
 
-    Only a session without ``spark.checkpoint.dir`` (unit tests) gets a local folder.
+    Only a session in a single process without ``spark.checkpoint.dir`` (unit tests) gets a
+    local folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else tempfile.mkdtemp(prefix="pitchlake-")
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix="pitchlake-")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -42,7 +42,8 @@ def export_csv(df: DataFrame, path: str, order: Iterable[str] = (),
     order = list(order)
     out = in_order(df, *order) if order else df
     (out.write.mode("overwrite").option("header", True).option("escape", '"')
-        .option("emptyValue", '""').option("compression", "gzip").csv(path))
+        .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path))
     return path
 
 

@@ -6,17 +6,21 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-MAX_SEASONS = 20
+# What the CSV reader takes for NULL besides absent fields; no exported text holds it.
+NO_TEXT = "\0"
 
 
-def expand_seasons(text: str) -> list[int]:
-    """``2012-2014`` as a list of seasons, a single year as a list of one."""
+def expand_seasons(text: str, most: int | None = None) -> list[int]:
+    """``2012-2014`` as a list of seasons, a single year as a list of one.
+
+    With ``most``, longer ranges are refused.
+    """
     bounds = [int(part) for part in text.split("-")]
     if len(bounds) > 2:
         raise ValueError(f"not a season or a range of seasons: {text}")
     seasons = list(range(bounds[0], bounds[-1] + 1))
-    if len(seasons) > MAX_SEASONS:
-        raise ValueError(f"{text} covers more than {MAX_SEASONS} seasons")
+    if most is not None and len(seasons) > most:
+        raise ValueError(f"{text} covers more than {most} seasons")
     return seasons
 
 
@@ -38,12 +42,6 @@ def season_paths(root: str, file: str, seasons: Iterable[int] | None = None,
     return [f"{root}/{folder.format(season)}/{file}" for season in seasons]
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread the rows of an input with fewer partitions than the cluster has cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_snapshots(spark: SparkSession, paths: str | list[str],
                    spread: int | None = None) -> DataFrame:
     """Rows ``(value, season, filename)``; gzip is told by extension.
@@ -88,8 +86,14 @@ def read_seasons(spark: SparkSession, root: str, file: str, seasons: Iterable[in
 
 
 def read_table_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A published table; types are inferred when no schema is given."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+    """A published table; types are inferred when no schema is given.
+
+    A field without quotes and without text is NULL, ``""`` is empty text, and line breaks
+    within quotes belong to the field. A file is one task, as gzip files are in any case.
+    """
+    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("nullValue", NO_TEXT).option("emptyValue", ""))
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
