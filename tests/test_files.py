@@ -13,7 +13,8 @@ def test_expand_seasons():
     assert snapshots.expand_seasons("2012") == [2012]
     for bad in ("2000-2030", "1-2-3", "", "x"):
         with pytest.raises(ValueError):
-            snapshots.expand_seasons(bad)
+            snapshots.expand_seasons(bad, most=20)
+    assert len(snapshots.expand_seasons("2000-2030")) == 31
 
 
 def test_raw_lines_keep_season_and_file(raw):
