@@ -103,3 +103,44 @@ def table_diff(t):
     new = build.withColumns({"o_orderstatus": status, "o_totalprice": price})
     return analyst.table_diff(build.filter(key % 10 != 1), new.filter(key % 10 != 2),
                               ["o_orderkey"])
+
+
+@query("table_diff_repeated_keys", """
+    with old as (select case when o_orderkey % 3 <> 0 then o_custkey end as k, o_orderstatus,
+                        o_orderpriority
+                 from orders where o_orderkey % 10 <> 1),
+    new as (select case when o_orderkey % 3 <> 0 then o_custkey end as k,
+                   case when o_orderkey % 7 <> 0 then o_orderstatus end as o_orderstatus,
+                   case when o_orderkey % 4 = 0 then '6-NONE' else o_orderpriority end
+                       as o_orderpriority
+            from orders where o_orderkey % 10 <> 2 and o_orderkey % 11 <> 2),
+    a as (select *, row_number() over (partition by k order by o_orderstatus nulls first,
+                                       o_orderpriority nulls first) as n
+          from (from old except all from new)),
+    b as (select *, row_number() over (partition by k order by o_orderstatus nulls first,
+                                       o_orderpriority nulls first) as n
+          from (from new except all from old)),
+    pairs as (select a.n as i, b.n as j, a.o_orderstatus as s, b.o_orderstatus as t,
+                     a.o_orderpriority as p, b.o_orderpriority as q
+              from a full join b on a.k is not distinct from b.k and a.n = b.n),
+    counts as (
+        select 'added' as kind, '*' as "column", count(*) as "rows" from pairs where i is null
+        union all
+        select 'removed', '*', count(*) from pairs where j is null
+        union all
+        select 'changed', 'o_orderstatus', count(*) from pairs
+        where i is not null and j is not null and s is distinct from t
+        union all
+        select 'changed', 'o_orderpriority', count(*) from pairs
+        where i is not null and j is not null and p is distinct from q)
+    from counts where "rows" > 0""")
+def table_diff_repeated_keys(t):
+    key = F.col("o_orderkey")
+    build = t.orders.select("o_orderkey", F.when(key % 3 != 0, F.col("o_custkey")).alias("k"),
+                            "o_orderstatus", "o_orderpriority")
+    priority = F.when(key % 4 == 0, "6-NONE").otherwise(F.col("o_orderpriority"))
+    new = build.withColumns({"o_orderstatus": F.when(key % 7 != 0, F.col("o_orderstatus")),
+                             "o_orderpriority": priority})
+    return analyst.table_diff(
+        build.filter(key % 10 != 1).drop("o_orderkey"),
+        new.filter((key % 10 != 2) & (key % 11 != 2)).drop("o_orderkey"), ["k"])

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from pitchlake.session import scratch
 
 PREVIEW_ROWS = 20
 SAMPLE_VALUES = 3
+# Most ranks listed at once for equal rows.
+RANKS = 65_536
 
 
 def matching(df: DataFrame, equal: Mapping[str, object]) -> DataFrame:
@@ -73,29 +77,57 @@ def records_delta(df: DataFrame, as_of: Column, date: str | None = "date",
 def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number of rows added, removed, and changed by column, between two builds.
 
-    NULL keys are keys. Of a key on several rows, the surplus of one side counts as added or
-    removed, and the greatest rows of both sides are compared, once. One aggregation serves
-    all: a key sends at most one row per task, so hot keys need no split.
+    NULL keys are keys. Equal rows of both sides cancel out, copy by copy. What is left of a
+    key is ranked by its values on either side; rows of equal rank are compared column by
+    column, and the surplus of one side counts as added or removed.
+
+    Ranks are running counts over ranges of the sorted rows, so a hot key is shared by as many
+    tasks as it has ranges, and pairs meet by key and rank.
     """
     common = [c for c in old.columns if c in new.columns and c not in keys]
+    n, is_new = F.col("__n"), F.col("__new")
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*keys, *common, F.lit(sign).alias("__n"))
+
+    left = (side(old, -1).unionByName(side(new, 1)).groupBy(*keys, *common)
+            .agg(F.sum("__n").alias("__n")).filter(n != 0)
+            .repartitionByRange(*keys, *common)
+            .select("*", (n > 0).alias("__new"), F.spark_partition_id().alias("__piece")))
+    path = scratch(old.sparkSession, "diff")
+    left.write.parquet(path)
+    left = old.sparkSession.read.schema(left.schema).parquet(path)
+
+    # Rows of a key in the pieces before; few keys lie in more than one.
+    ordered = Window.partitionBy(*keys, "__new").orderBy("__piece")
+    before = (left.groupBy(*keys, "__new", "__piece").agg(F.sum(F.abs(n)).alias("__n"))
+              .withColumn("__before", F.sum("__n").over(ordered) - n).filter("__before > 0")
+              .select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+                      is_new.alias("__side"), F.col("__piece").alias("__at"), "__before"))
+    same = (is_new == F.col("__side")) & (F.col("__piece") == F.col("__at"))
+    for i, k in enumerate(keys):
+        same &= left[k].eqNullSafe(before[f"__key{i}"])
+    within = Window.partitionBy(*keys, "__new", "__piece").orderBy(*common or [F.lit(0)])
+    until = F.col("__until") + F.coalesce("__before", F.lit(0))
+    ranked = (left.withColumn("__until", F.sum(F.abs(n)).over(within))
+              .join(before, same, "left")
+              .withColumns({"__from": until - F.abs(n), "__to": until - 1}))
+    # One row per copy, in two steps that keep the lists of ranks short.
+    start = ranked.withColumn("__start", F.explode(
+        F.sequence("__from", "__to", F.lit(RANKS).cast("long"))))
+    copies = start.withColumn("__rank", F.explode(F.sequence(
+        "__start", F.least("__to", F.col("__start") + RANKS - 1))))
+    row = F.struct(F.lit(True), *common)
+    pairs = copies.groupBy(*keys, "__rank").agg(
+        F.max(F.when(~is_new, row)).alias("__a"), F.max(F.when(is_new, row)).alias("__b"))
+    a, b = F.col("__a").isNotNull(), F.col("__b").isNotNull()
+
+    def found(kind: str, column: str, condition: Column):
+        return F.when(condition, F.struct(F.lit(kind).alias("kind"), F.lit(column).alias("column")))
 
-    def side(df: DataFrame, is_new: bool) -> DataFrame:
-        return df.select(*keys, F.lit(is_new).alias("__new"), F.struct(*common).alias("__row"))
-
-    counts = side(old, False).unionByName(side(new, True)).groupBy(*keys).agg(
-        F.count_if(~F.col("__new")).alias("__before"), F.count_if("__new").alias("__after"),
-        F.max(F.when(~F.col("__new"), F.col("__row"))).alias("__a"),
-        F.max(F.when(F.col("__new"), F.col("__row"))).alias("__b"))
-    surplus, both = F.col("__after") - F.col("__before"), F.col("__a").isNotNull() & F.col("__b").isNotNull()
-
-    def found(kind: str, column: str, condition: Column, rows: Column):
-        return F.when(condition, F.struct(
-            F.lit(kind).alias("kind"), F.lit(column).alias("column"), rows.alias("rows")))
-
-    one = F.lit(1).cast("long")
     kinds = F.array(
-        found("added", "*", surplus > 0, surplus), found("removed", "*", surplus < 0, -surplus),
-        *[found("changed", c, both & ~F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}")), one)
+        found("added", "*", ~a), found("removed", "*", ~b),
+        *[found("changed", c, a & b & ~F.col(f"__a.{c}").eqNullSafe(F.col(f"__b.{c}")))
           for c in common])
-    return (counts.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
-            .groupBy("kind", "column").agg(F.sum("rows").alias("rows")))
+    return (pairs.select(F.inline(F.filter(kinds, lambda k: k.isNotNull())))
+            .groupBy("kind", "column").agg(F.count("*").alias("rows")))

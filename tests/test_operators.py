@@ -223,6 +223,21 @@ def test_table_diff(spark):
     assert rows == {("added", "*"): 1, ("removed", "*"): 1, ("changed", "s"): 1, ("changed", "n"): 1}
 
 
+def test_table_diff_of_repeated_and_null_keys(spark):
+    def diff(old, new):
+        sides = [spark.createDataFrame(rows, "k int, s string, n int") for rows in (old, new)]
+        return {(r.kind, r.column): r["rows"] for r in analyst.table_diff(*sides, ["k"]).collect()}
+
+    assert diff([(1, "a", 1), (1, "a", 5)], [(1, "a", 2), (1, "a", 5)]) == {("changed", "n"): 1}
+    hot = [(None, "a", i) for i in range(300)]
+    moved = [(None, "b" if i < 200 else "a", i) for i in range(300)]
+    assert diff(hot, moved)[("changed", "s")] == 200
+    copies = [(None, "a", 1)] * 5 + [(2, None, None)] * 3
+    assert diff(copies, copies[2:7]) == {("removed", "*"): 3}
+    assert diff(copies, [(None, "b", 1)] * 4 + [(2, None, 7)] * 4) == {
+        ("removed", "*"): 1, ("added", "*"): 1, ("changed", "s"): 4, ("changed", "n"): 3}
+
+
 def test_rules_in_one_pass(spark):
     df = spark.sql("select * from values (1, 'a'), (null, 'b'), (9, null) as t(n, s)")
     rows = [(r.check, r.failures, r.detail) for r in quality.measure(df, "t", [
