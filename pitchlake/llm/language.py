@@ -8,12 +8,11 @@ are frozen after learning, so a text costs a sum over its bytes, and the languag
 the whole text is shortest wins.
 
 Learning reads at most ``SAMPLE`` whole documents of each language, chosen by a hash of the
-id; sequences of ``CONTEXT`` + 1 bytes that occur once in them are left out. Every text is
-then scored whole.
+id, with every sequence of ``CONTEXT`` + 1 bytes in them. Every text is then scored whole.
 
 Defined results: a null text and one without a letter are ``und`` with score 0, as is every
 text when nothing can be learnt; on a tie the smaller language name wins; rows without a
-language teach nothing; repeated rows and equal texts get equal results; an empty table gives
+language or a text teach nothing; repeated rows and equal texts get equal results; an empty table gives
 an empty result; only the named columns are read, so other columns cannot clash.
 """
 
@@ -138,10 +137,9 @@ class Trees:
         return self.languages[best], float(1 / np.exp2(np.clip(bits[best] - bits, -500, 0)).sum())
 
 
-def grow(counts: pd.DataFrame) -> Trees:
-    """Trees from the counts of whole windows: columns lang, key, n."""
-    languages = sorted(counts["lang"].unique())
-    which = counts["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy(int)
+def grow(counts: pd.DataFrame, languages: list[str]) -> Trees:
+    """Trees from the counts of whole windows: columns which (the language's place), key, n."""
+    which = counts["which"].to_numpy(int)
     keys, n = counts["key"].to_numpy().astype(np.uint64), counts["n"].to_numpy(float)
     trees = Trees(languages, [], [], [], [])
     shorter = None
@@ -174,31 +172,33 @@ def grow(counts: pd.DataFrame) -> Trees:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", size: int = SAMPLE) -> Trees:
     """Trees from at most ``size`` documents of each language."""
-    named = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    named = docs.filter(F.col(lang_col).isNotNull() & (F.col(text_col) != "")
                         & F.col(id_col).isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = (named.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
               .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
               .select("id", "lang"))
-    found = chosen.select("lang").distinct().count()
-    if found > LANGUAGES:
-        raise ValueError(f"{found} languages, at most {LANGUAGES} can be told apart")
+    found = chosen.select("lang").distinct()
+    languages = sorted(r["lang"] for r in found.limit(LANGUAGES + 1).collect())
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"{found.count()} languages, at most {LANGUAGES} can be told apart")
+    place = {lang: i for i, lang in enumerate(languages)}
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for lang, texts in frame.groupby("lang")["text"]:
                 keys = np.concatenate([windows(START + t.encode()) for t in texts])
                 held, n = np.unique(keys, return_counts=True)
-                yield pd.DataFrame({"lang": lang, "key": held.astype(np.int64), "n": n})
+                yield pd.DataFrame({"which": place[lang], "key": held.astype(np.int64), "n": n})
 
     # At most ``size`` ids for each of LANGUAGES languages, so the hint is safe.
     sample = (named.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
                            F.col(text_col).alias("text"))
               .join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text"))
-    counts = (sample.mapInPandas(count, "lang string, key long, n long")
-              .groupBy("lang", "key").agg(F.sum("n").alias("n")).filter("n > 1"))
+    counts = (sample.mapInPandas(count, "which int, key long, n long")
+              .groupBy("which", "key").agg(F.sum("n").alias("n")))
     # Bounded by the bytes of the sample.
-    return grow(counts.toPandas())
+    return grow(counts.toPandas(), languages)
 
 
 def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id",

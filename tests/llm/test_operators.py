@@ -278,6 +278,29 @@ def test_language(spark, docs, none):
     assert language.learn(none).predict("abc") == ("und", 0.0)
 
 
+def test_language_keeps_what_occurs_once(spark):
+    texts = {"en": "the quick brown fox", "fi": "älä syö yksin", "pl": "dzień"}
+    many = [(i, "the house is on the hill " * 3, "en", "s") for i in range(10, 20)]
+    rows = [(i, t, k, "s") for i, (k, t) in enumerate(texts.items())]
+    trees = language.learn(rows_of(spark, many + rows + [(50, "", "xx", "s")]))
+    assert trees.languages == ["en", "fi", "pl"]
+    assert trees.predict("syö yksin")[0] == "fi" and trees.predict("dzień")[0] == "pl"
+    # Code length in the text of a single document, by its definition.
+    padded, text, bits = language.START + texts["fi"].encode(), "yksi älä z".encode(), 0.0
+    asked = language.START + text
+    for i in range(4, len(asked)):
+        for m in range(4, -1, -1):
+            after = [padded[j] for j in range(4, len(padded)) if padded[j - m:j] == asked[i - m:i]]
+            kinds = len(set(after))
+            if asked[i] in after:
+                bits += math.log2((len(after) + kinds) / after.count(asked[i]))
+                break
+            bits += math.log2((len(after) + kinds) / kinds) if kinds else 0
+        else:
+            bits += 8
+    assert trees.code_length(text)[1] == pytest.approx(bits, rel=1e-5)
+
+
 def test_toxicity(spark, docs, none):
     texts = [(i, ("fine words here " + ("you idiot " if i % 3 == 0 else "dear friend ")) * 2,
               "en", "s") for i in range(90)]
