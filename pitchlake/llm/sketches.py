@@ -1,10 +1,14 @@
 """Document fingerprints as threshold-scaled sketches.
 
-A sketch holds every hash of a word shingle below a fixed fraction of the hash range, so its
+A sketch holds every hash of a word shingle up to a fixed fraction of the hash range, so its
 size follows the document, sketches merge by union, and the share of a sketch that lies in
-another estimates containment even between very unequal documents. A text with shingles but
-no hash below the threshold keeps its least hash; that rule merges too, since the least hash
-of a union is the least of both.
+another estimates containment even between very unequal documents. The fraction is the whole
+range: a text of a few shingles would often keep none of them in any smaller one, and a long
+document would not hold the ones to compare it by.
+
+With a smaller ``limit``, a text with shingles but no hash up to it keeps its least hash; that
+rule merges too, since the least hash of a union is the least of both. Whether a sketch cut at
+the limit contains that text cannot be told: containment is then NaN.
 
 ``beside`` walks documents in the order of their ids and gives each one its successor: ids are
 cut into ranges, a range also gets the first document of the next one, and each task streams
@@ -30,14 +34,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pitchlake.llm.common import query, table, text_of
 
 WIDTH = 5
-FRACTION = 8
-LIMIT = (1 << 64) // FRACTION
+FRACTION = 1
+LIMIT = (1 << 64) // FRACTION - 1
 DIGITS = 16
 LEAST_ID = -(1 << 63)
 
 
 def sketch(text: str, width: int = WIDTH, limit: int = LIMIT) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles below the limit, or the least one."""
+    """Sorted distinct hashes of a text's word shingles up to the limit, or the least one."""
     words = text.encode().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -50,7 +54,7 @@ def sketch(text: str, width: int = WIDTH, limit: int = LIMIT) -> np.ndarray:
 
 
 def _kept(hashes: np.ndarray, limit: int) -> np.ndarray:
-    below = hashes[hashes < np.uint64(limit)]
+    below = hashes[hashes <= np.uint64(limit)]
     return np.unique(below) if below.size else hashes.min(keepdims=True)
 
 
@@ -60,16 +64,18 @@ def merge(a: np.ndarray, b: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     return _kept(both, limit) if both.size else both
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of the shingles of a that b has too."""
+def containment(a: np.ndarray, b: np.ndarray, limit: int = LIMIT) -> float:
+    """Estimated share of the shingles of a that b has too; NaN if b cannot hold those of a."""
     if not a.size or not b.size:
         return float(a.size == b.size)
+    if a.min() > np.uint64(limit) >= b.min():
+        return float("nan")
     return np.intersect1d(a, b, assume_unique=True).size / a.size
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: np.ndarray, b: np.ndarray, limit: int = LIMIT) -> float:
     """Containment of the smaller sketch in the larger."""
-    return containment(a, b) if a.size <= b.size else containment(b, a)
+    return containment(a, b, limit) if a.size <= b.size else containment(b, a, limit)
 
 
 def written(hashes: np.ndarray) -> str:

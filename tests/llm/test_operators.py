@@ -179,6 +179,29 @@ def test_sketches(docs, none):
     assert sketches.containment(sketches.sketch(b), both) == 1.0
 
 
+def test_sketches_of_short_texts(spark):
+    def shingles(text):
+        words = text.split()
+        return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+    words = [f"w{i}" for i in range(3000)]
+    whole = sketches.sketch(" ".join(words))
+    texts = []
+    for size in range(1, 21):
+        text = " ".join(words[size * 100:size * 100 + size])
+        texts.append((size, text, "en", "a"))
+        assert sketches.containment(sketches.sketch(text), whole) == float(size >= 5)
+    for row in sketches.drift(rows_of(spark, texts)).collect():
+        i = row["doc_id"]
+        own, other = texts[i - 1][1], texts[i % 20][1]
+        a, b = sorted((shingles(own), shingles(sketches.edit(own, other))), key=len)
+        assert row["near_edited"] == len(a & b) / len(a)
+    # A sketch cut at a limit cannot tell whether it contains what lies above.
+    limit = int(whole.min())
+    above = next(s for s in map(sketches.sketch, (t for _, t, *_ in texts[4:])) if s.min() > limit)
+    assert math.isnan(sketches.containment(above, sketches._kept(whole, limit), limit))
+
+
 def test_mixing(spark, docs, none):
     out = mixing.mix(docs, group=2).collect()
     assert len(out) == len(TEXTS) and all(r["taken"] <= 2 * r["size"] for r in out)
