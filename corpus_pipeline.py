@@ -1,4 +1,7 @@
-"""From raw documents to token counts of a mixed, deduplicated corpus."""
+"""From raw documents to token counts of a mixed, deduplicated corpus.
+
+Every stage reads a stored table (Parquet) and returns rows of it.
+"""
 
 from __future__ import annotations
 
@@ -19,33 +22,52 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(score(F.col("text")) < 0.5)
 
 
-def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is listed; a null id is an id."""
-    kept = ids.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+def _placed(docs: DataFrame) -> DataFrame:
+    """Rows of a stored table with ``__file`` and ``__at``, where each is stored.
+
+    Ids may repeat or be null; a stage decides about rows and finds them by their place.
+    """
+    return docs.select("*", F.col("_metadata.file_path").alias("__file"),
+                       F.col("_metadata.row_index").alias("__at"))
+
+
+def _ranked(docs: DataFrame) -> DataFrame:
+    """Text and ``__key`` of every row: ordered by id, null last, and different for all rows.
+
+    Rows of one id are ordered by their content, and equal rows by their place.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id",
+                   F.xxhash64(*docs.columns).alias("content"), "__file", "__at")
+    return _placed(docs).select(key.alias("__key"), "text")
+
+
+def _keep(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is listed."""
+    kept = settle(keys.select("__key.__file", "__key.__at"), "kept")
+    return _placed(docs).join(kept, ["__file", "__at"], "left_semi").select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest id."""
+    """Of equal texts, the row with the smallest id."""
     session(spark)
-    return _keep(docs, settle(deduplicate(docs).filter("kept").select("doc_id"), "kept"))
+    return _keep(docs, deduplicate(_ranked(docs), id_col="__key").filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by SimHash, the document with the smallest id."""
+    """Of each group linked by SimHash, the row with the smallest id."""
     session(spark)
-    first = near_duplicates(docs, width=3, radius=3).filter("doc_id <=> component_id")
-    return _keep(docs, settle(first.select("doc_id"), "kept"))
+    groups = near_duplicates(_ranked(docs), id_col="__key", width=3, radius=3)
+    return _keep(docs, groups.filter("__key = component_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every row as often as the mix takes it."""
     session(spark)
-    plan = mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.max("copies").alias("__copies"))
-    taken = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(
-        *[docs[c] for c in docs.columns])
+    plan = mix(_placed(docs), carry=["__file", "__at"]).filter("copies > 0")
+    taken = _placed(docs).join(plan.select("__file", "__at", F.col("copies").alias("__copies")),
+                               ["__file", "__at"])
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(
+        docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,10 +116,14 @@ def _round(rows: DataFrame, level: int, group: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", group: int = GROUP) -> DataFrame:
-    """One row per input row: id, size, source_size, target, copies, taken."""
+        source_col: str = "source", group: int = GROUP,
+        carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: id, size, source_size, target, copies, taken, carried columns.
+
+    Carried columns tell rows of one id apart and must not be null.
+    """
     rows = settle(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+        *carry, F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size")), "sizes")
     aims = settle(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))),
                   "targets")
@@ -143,7 +147,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = F.col("whole") + F.round("chance").cast("long")
     return result.select(
         F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"))
+        (copies * F.col("size")).alias("taken"), *carry)
 
 
 @query("op9_mixing")
