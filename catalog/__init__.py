@@ -37,4 +37,4 @@ def query(name: str, oracle: str | None = None):
 
 
 from catalog import (  # noqa: E402,F401
-    picks, texts, joins, aggregates, maintenance, checks, files, league)
+    picks, texts, joins, aggregates, maintenance, checks, files, league, builds, reports)

@@ -144,3 +144,34 @@ def table_diff_repeated_keys(t):
     return analyst.table_diff(
         build.filter(key % 10 != 1).drop("o_orderkey"),
         new.filter((key % 10 != 2) & (key % 11 != 2)).drop("o_orderkey"), ["k"])
+
+
+@query("table_diff_copies", """
+    with old as (select o_orderstatus as k, o_orderpriority as p, year(o_orderdate) as y from orders),
+    new as (select o_orderstatus as k,
+                   case when o_orderkey % 3 = 0 then '6-NONE' else o_orderpriority end as p,
+                   year(o_orderdate) as y
+            from orders where o_orderkey % 4 <> 1),
+    a as (select *, row_number() over (partition by k order by p, y) as n
+          from (from old except all from new)),
+    b as (select *, row_number() over (partition by k order by p, y) as n
+          from (from new except all from old)),
+    pairs as (select a.n as i, b.n as j, a.p as p, b.p as q, a.y as y, b.y as z
+              from a full join b on a.k = b.k and a.n = b.n)
+    select * from (
+        select 'added' as kind, '*' as "column", count(*) as "rows" from pairs where i is null
+        union all
+        select 'removed', '*', count(*) from pairs where j is null
+        union all
+        select 'changed', 'p', count(*) from pairs where i is not null and j is not null and p <> q
+        union all
+        select 'changed', 'y', count(*) from pairs where i is not null and j is not null and y <> z)
+    where "rows" > 0""")
+def table_diff_copies(t):
+    # Three keys with a few hundred different rows, each of them many times.
+    key = F.col("o_orderkey")
+    build = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("k"),
+                            F.col("o_orderpriority").alias("p"), F.year("o_orderdate").alias("y"))
+    new = build.withColumn("p", F.when(key % 3 == 0, "6-NONE").otherwise(F.col("p")))
+    return analyst.table_diff(build.drop("o_orderkey"),
+                              new.filter(key % 4 != 1).drop("o_orderkey"), ["k"])

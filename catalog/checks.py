@@ -6,6 +6,7 @@ from catalog import query
 from pitchlake.functions.text import to_int
 from pitchlake.operators import contract, quality as q
 from pitchlake.operators.snapshot import latest
+from pitchlake.session import scratch
 
 
 def _row(check, table, column, failures, detail="cast(null as varchar)", severity="error"):
@@ -194,16 +195,71 @@ def dq_gaps(t):
     where season <> (select max(season) from games)
       and league in (select league from per_season group by 1 having count(*) > 1)
       and league not in (2, 5, 7) and (league, season) not in ((1, 1999), (3, 1996))
-      and league % 2 = 1 and actual_games <> season_clubs * (season_clubs - 1)""")
+      and actual_games <> season_clubs * (season_clubs - 1)""")
 def dq_round_robin(t):
     games = t.orders.select((F.col("o_custkey") % 23).alias("league"),
                             F.year("o_orderdate").alias("season"), "o_orderkey",
                             (F.col("o_custkey") % 31).alias("club"))
-    members = games.filter("league % 2 = 1").select("league").distinct()
+    members = games.select("league").distinct()
     return q.incomplete_round_robin(games, "league", "season", "o_orderkey", "club", members,
                                     [2, 5, 7], [(1, 1999), (3, 1996)])
 
 
+@query("distinct_ids", """
+    select o_orderstatus, o_orderpriority, count(distinct o_custkey) as customers,
+           count(distinct case when o_orderkey % 7 <> 0 then o_orderkey - 3000 end) as orders
+    from orders group by all
+    union all
+    select o_orderstatus, null, count(distinct o_custkey),
+           count(distinct case when o_orderkey % 7 <> 0 then o_orderkey - 3000 end)
+    from orders group by all""")
+def distinct_ids(t):
+    # Ids below zero and missing ones; bitmaps of the small groups make those of the large.
+    order = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey") - 3000)
+    rows = t.orders.select("o_orderstatus", "o_orderpriority", "o_custkey", order.alias("order"))
+    kinds = {"customers": "o_custkey", "orders": "order"}
+    small = ["o_orderstatus", "o_orderpriority"]
+    maps = q.id_bitmaps(rows, small, kinds)
+    large = q.merge_bitmaps(maps, small[:1])
+    return q.count_bitmaps(maps, small, kinds).unionByName(
+        q.count_bitmaps(large, small[:1], kinds).withColumn(
+            "o_orderpriority", F.lit(None).cast("string")))
+
+
+@query("key_report", " union all ".join([
+    _row("unique", "orders", "o_orderkey", "count(*)")
+    + " from (select 1 from orders group by o_orderkey having count(*) > 1)",
+    _row("unique", "orders", "o_custkey,o_orderstatus", "count(*)")
+    + " from (select 1 from orders where o_orderstatus <> 'P' group by o_custkey, o_orderstatus having count(*) > 1)",
+    _row("unique", "lineitem", "l_orderkey,l_linenumber", "count(*)")
+    + " from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)",
+    _fk("lineitem", "l_orderkey", "orders", "o_orderkey", ""),
+    _fk("lineitem", "l_suppkey", "supplier", "s_suppkey", "where s_suppkey % 4 <> 0"),
+    _fk("orders", "o_custkey", "customer", "c_custkey", "where c_custkey % 9 <> 0")]))
+def key_report(t):
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    tables = {"lineitem": t.lineitem, "orders": t.orders.withColumn("o_orderstatus", status),
+              "supplier": t.supplier.filter("s_suppkey % 4 <> 0"),
+              "customer": t.customer.filter("c_custkey % 9 <> 0")}
+    unique = {"orders": [["o_orderkey"], ["o_custkey", "o_orderstatus"]],
+              "lineitem": [["l_orderkey", "l_linenumber"]]}
+    index = q.key_index(tables, unique, LINKS, scratch(t.spark, "keys"))
+    return q.report([q.index_unique(index, unique, tables),
+                     q.index_foreign_keys(index, tables, LINKS)])
+
+
+@query("dq_known_entity", """
+    select u as user_id, count(distinct event_type) as distinct_values
+    from (values (1), (2), (-1)) as n(u) left join events on user_id = u
+         and (u <> 2 or event_type = 'view')
+    group by u having count(distinct event_type) < 2""")
+def dq_known_entity(t):
+    # One user with a full history, one who shows a single type, one who has no row at all.
+    shown = t.events.filter((F.col("user_id") != 2) | (F.col("event_type") == "view"))
+    return q.report([q.short_history_of(shown, "user_id", user, "event_type", 2).select(
+        F.lit(user).alias("user_id"), "distinct_values") for user in (1, 2, -1)])
+
+
 @query("dq_entity_history", """
     select user_id, count(distinct case when user_id % 3 = 0 then 'view' else event_type end)
                as distinct_values

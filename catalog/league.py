@@ -332,14 +332,19 @@ def raw_game_lineups(t):
         ids = F.sequence(F.lit(low), F.lit(high))
         return F.transform(F.concat(ids, ids) if again else ids, entry)
 
+    # Every sixth game has no formation and an empty list for a starting line-up.
+    known = k % 6 != 0
+    nobody = F.filter(entries(1, 1), lambda e: F.lit(False))
     home = F.struct(_say("/c/startseite/verein/", _text(_home())).alias("href"),
-                    F.when(~newest, F.lit("4-4-2")).when(k % 5 != 0, F.lit("4-3-3")).alias("formation"),
-                    F.when(newest, entries(1, 2, True)).alias("starting_lineup"),
+                    F.when(known & ~newest, F.lit("4-4-2")).when(known & (k % 5 != 0), F.lit("4-3-3"))
+                    .alias("formation"),
+                    F.when(newest, F.when(known, entries(1, 2, True)).otherwise(nobody))
+                    .alias("starting_lineup"),
                     entries(5, 5).alias("substitutes"))
     away = F.struct(_say("/c/startseite/verein/", _text(_away())).alias("href"),
-                    F.lit("3-5-2").alias("formation"),
+                    F.when(known, F.lit("3-5-2")).alias("formation"),
                     entries(3, 4).alias("substitutes"))
-    return _snapshots(t.orders.filter(k % 6 != 0), F.array(F.lit(2019), F.lit(2021)),
+    return _snapshots(t.orders, F.array(F.lit(2019), F.lit(2021)),
                       game_id=k, home_club=home, away_club=away)
 
 
@@ -387,7 +392,7 @@ BASE_SQL["base_game_lineups"] = f"""
            'N' || ((o_custkey + i) % 1700) as player_name,
            case when i = 1 then 1 else 0 end as team_captain,
            case when i <> 3 then 'Pos ' || i end as position
-    from {GAMES_FROM}, (values (1), (2), (3), (4), (5)) as n(i) where o_orderkey % 6 <> 0"""
+    from {GAMES_FROM}, (values (1), (2), (3), (4), (5)) as n(i) where o_orderkey % 6 <> 0 or i > 2"""
 
 
 def raw_appearances(t):
@@ -650,14 +655,14 @@ def _metric(check: str, table: str, column: str, rows: str, severity: str = "err
         from ({rows})"""
 
 
-@query("league_report", f"""
-    with base_games as ({BASE_SQL["base_games"]}), base_clubs as ({BASE_SQL["base_clubs"]}),
-    leagues as (select * from ({BASE_SQL["base_competitions"]}) where sub_type = 'first_tier'),
+# Relations that the checks of leagues share, and the checks.
+LEAGUE_SQL = """
+    leagues as (select * from base_competitions where sub_type = 'first_tier'),
     per_season as (
         select competition_id, season, count(distinct game_id) as n,
                count(distinct home_club_id) as clubs
-        from base_games group by 1, 2)
-    """ + " union all ".join([
+        from base_games group by 1, 2)"""
+LEAGUE_METRICS = [
         _metric("games_per_matchday", "games", "round", """
             select 1 from base_games
             where competition_id in (select competition_id from leagues) and season <> 2025
@@ -680,7 +685,13 @@ def _metric(check: str, table: str, column: str, rows: str, severity: str = "err
             select 1 from customer where c_custkey % 3 <> 2
             having 100.0 * count(*) filter (where c_custkey % 3 = 0) / count(*) > 10""", "warn"),
         _metric("lost_history", "base_transfers", "player_id", "select 1 from customer where false"),
-    ]))
+]
+
+
+@query("league_report", f"""
+    with base_games as ({BASE_SQL["base_games"]}), base_clubs as ({BASE_SQL["base_clubs"]}),
+    base_competitions as ({BASE_SQL["base_competitions"]}), {LEAGUE_SQL}
+    """ + " union all ".join(LEAGUE_METRICS))
 def league_report(t):
     names = ["games", "clubs", "competitions", "transfers"]
     raw = {k: v for n in names for k, v in _raw(t, f"base_{n}").items()}

@@ -1,5 +1,6 @@
 """Merge, overlay, supplement, gate and contract."""
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -8,6 +9,7 @@ from pitchlake.operators.quality import null_shares, report
 from pitchlake.plans import refresh
 from pitchlake.session import scratch
 from pitchlake.sinks import writers
+from pitchlake.sinks.releases import Releases
 
 
 @query("upsert_merge", """
@@ -51,7 +53,7 @@ def merge_composite(t):
 
     new = snapshot(F.col("o_orderkey") % 2 == 0).withColumn("new_amount", F.col("amount"))
     old = snapshot(F.col("o_orderkey") % 4 != 0)
-    merged = merge.merge_asset(new, old, "appearances")
+    merged = merge.merge_asset(new, old, asset="appearances")
     return merged.select(merge.record_key(merged, "appearances").alias("key"), "new_amount", "amount")
 
 
@@ -129,17 +131,17 @@ def tagged_options(t):
 
 
 @query("scope_chain", """
-    select 'clubs' as asset, count(*) as "rows" from nation where n_regionkey in (1, 3)
+    select 'clubs' as asset, '/x/' || n_nationkey || '/' as href from nation where n_regionkey in (1, 3)
     union all
-    select 'players', count(*) from customer join nation on c_nationkey = n_nationkey
+    select 'players', '/x/' || c_custkey || '/' from customer join nation on c_nationkey = n_nationkey
     where n_regionkey in (1, 3)
     union all
-    select 'appearances', count(*) from orders join customer on o_custkey = c_custkey
+    select 'appearances', '/x/' || o_orderkey || '/' from orders join customer on o_custkey = c_custkey
     join nation on c_nationkey = n_nationkey where n_regionkey in (1, 3)
     union all
-    select 'games', count(*) from orders where o_orderkey % 5 in (1, 3)
+    select 'games', '/x/' || o_orderkey || '/' from orders where o_orderkey % 5 in (1, 3)
     union all
-    select 'game_lineups', count(*) from orders where o_orderkey % 5 in (1, 3)""")
+    select 'game_lineups', '/x/' || o_orderkey || '/' from orders where o_orderkey % 5 in (1, 3)""")
 def scope_chain(t):
     # Regions stand for competitions, nations for clubs, customers for players.
     def href(id_, parent=None):
@@ -157,10 +159,48 @@ def scope_chain(t):
         "games": t.orders.select(*href(order, order % 5)),
         "game_lineups": t.orders.select(*href(order)),
     }, competitions=["1", "3"])
-    return report([df.agg(F.count("*").alias("rows")).select(F.lit(asset).alias("asset"), "rows")
+    return report([df.select(F.lit(asset).alias("asset"), "href")
                    for asset, df in kept.items() if asset != "competitions"])
 
 
+WORLD = [
+    contract.Contract("supplier", (), (), (
+        contract.ForeignKey(("s_nationkey",), "nation", ("n_nationkey",)),)),
+    contract.Contract("customer", (), (), (
+        contract.ForeignKey(("c_nationkey",), "nation", ("n_nationkey",)),)),
+    contract.Contract("orders", (), (), (
+        contract.ForeignKey(("o_custkey",), "customer", ("c_custkey",)),)),
+    contract.Contract("lineitem", (), (), (
+        contract.ForeignKey(("l_orderkey",), "orders", ("o_orderkey",)),
+        contract.ForeignKey(("l_suppkey",), "supplier", ("s_suppkey",)))),
+]
+WORLD_KEYS = {"region": ("r_regionkey",), "nation": ("n_nationkey",), "supplier": ("s_suppkey",),
+              "customer": ("c_custkey",), "orders": ("o_orderkey",),
+              "lineitem": ("l_orderkey", "l_linenumber")}
+
+
+@query("scope_closure", """
+    with n as (select n_nationkey from nation where n_nationkey in (3, 7)),
+    s as (select s_suppkey from supplier where s_nationkey in (select * from n)),
+    c as (select c_custkey from customer where c_nationkey in (select * from n)),
+    o as (select o_orderkey from orders where o_custkey in (select * from c))
+    select 'region' as "table", r_regionkey::varchar as id from region
+    union all select 'nation', n_nationkey::varchar from n
+    union all select 'supplier', s_suppkey::varchar from s
+    union all select 'customer', c_custkey::varchar from c
+    union all select 'orders', o_orderkey::varchar from o
+    union all select 'lineitem', l_orderkey || ' ' || l_linenumber from lineitem
+    where l_orderkey in (select * from o) or l_suppkey in (select * from s)""")
+def scope_closure(t):
+    # Lines are reached over orders and over suppliers; regions are reached over nothing.
+    tables = {name: getattr(t, name) for name in WORLD_KEYS}
+    wanted = t.nation.select("n_nationkey").filter("n_nationkey in (3, 7)")
+    kept = merge.scope_closure(tables, WORLD, {"nation": wanted})
+    return report([kept[name].select(F.lit(name).alias("table"),
+                                     F.concat_ws(" ", *keys).alias("id"))
+                   for name, keys in WORLD_KEYS.items()])
+
+
 @query("merge_snapshot_files", """
     select '/p/' || c_custkey as href, case when c_custkey % 3 <> 0 then 'new' else 'old' end as code,
            case when c_custkey % 3 <> 0 then cast(c_nationkey as varchar) end
@@ -184,3 +224,61 @@ def merge_snapshot_files(t):
         "href", "code", "current_market_value",
         F.get_json_object("parent", "$.href").alias("club"),
         F.get_json_object("parent", "$.coach").alias("coach"))
+
+
+@query("merge_drift", """
+    select '/p/' || c_custkey as href,
+           case when c_custkey % 3 <> 0 then '1,' || c_nationkey || ' m' else c_custkey::varchar end as height,
+           case when c_custkey % 3 <> 0 then '/c/' || c_nationkey
+                else '{"href":"/c/' || c_nationkey || '"}' end as parent,
+           case when c_custkey % 3 <> 0 then c_mktsegment else '["' || c_mktsegment || '"]' end as tags,
+           case when c_custkey % 3 <> 0 then c_nationkey + 0.5::double else c_nationkey end as size,
+           case when c_custkey % 3 <> 0 then c_custkey::varchar else c_name end as "inner"
+    from customer""")
+def merge_drift(t):
+    # Old: number, object, list, whole number, text in an object. New: text, text, text, fraction, number.
+    key, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    href = F.concat(F.lit("/p/"), key.cast("string")).alias("href")
+    club = F.concat(F.lit("/c/"), nation)
+    old = t.customer.filter(key % 3 != 1).select(
+        href, key.alias("height"), F.struct(club.alias("href")).alias("parent"),
+        F.array("c_mktsegment").alias("tags"), F.col("c_nationkey").alias("size"),
+        F.struct(F.col("c_name").alias("x")).alias("inner"))
+    new = t.customer.filter(key % 3 != 0).select(
+        href, F.concat(F.lit("1,"), nation, F.lit(" m")).alias("height"), club.alias("parent"),
+        F.col("c_mktsegment").alias("tags"), (F.col("c_nationkey") + F.lit(0.5)).alias("size"),
+        F.struct(key.alias("x")).alias("inner"))
+    paths = [writers.export_json(df, scratch(t.spark, "countries.json")) for df in (new, old)]
+    merged = refresh.merge_snapshot(t.spark, paths[0], paths[1], "countries",
+                                    scratch(t.spark, "merged.json"))
+    schema = "href string, height string, parent string, tags string, size double, inner struct<x: string>"
+    return t.spark.read.schema(schema).json(merged).withColumn("inner", F.col("inner.x"))
+
+
+@query("guarded_overwrite", """
+    select 'market_values.json' as output, c_custkey as player_id, c_mktsegment as response, 3 as refused
+    from customer
+    union all
+    select 'transfers.json', c_custkey, c_name, 3 from customer where c_custkey % 5 <> 0""")
+def guarded_overwrite(t):
+    # Good data, then an empty set, one with a quarter missing, and one that fails half-way.
+    key = F.col("c_custkey").alias("player_id")
+    wanted = t.customer.filter("c_custkey % 5 <> 0").select(key)
+    values = t.customer.select(key, F.col("c_mktsegment").alias("response"))
+    moves = t.customer.select(key, F.col("c_name").alias("response"))
+    store = Releases(t.spark, scratch(t.spark, "responses"))
+    refresh.store_responses(values, moves, wanted, store)
+    poor = values.withColumn("response", F.when(F.col("player_id") % 4 != 0, F.lit("poor")))
+    broken = moves.withColumn("response", F.coalesce(
+        F.when(F.col("player_id") >= 0, F.raise_error(F.lit("connection lost"))), F.lit("")))
+    refused = 0
+    for first, second in ((values.limit(0), moves), (poor, moves),
+                          (values.withColumn("response", F.lit("new")), broken)):
+        try:
+            refresh.store_responses(first, second, wanted, store)
+        except (gate.RefusedWrite, SparkRuntimeException):
+            refused += 1
+    schema = "player_id long, response string"
+    return report([t.spark.read.schema(schema).json(path).select(
+        F.lit(name).alias("output"), "player_id", "response", F.lit(refused).alias("refused"))
+        for name, path in store.current().items()])

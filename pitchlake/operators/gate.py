@@ -6,8 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pitchlake.session import scratch
-from pitchlake.sinks.writers import write_table
+from pitchlake.sinks.releases import Releases
 
 # Fixed value: highest accepted share of missing responses.
 MAX_NULL_SHARE = 0.2
@@ -37,17 +36,18 @@ def check(df: DataFrame, missing: Column, label: str,
                            f"more than {max_null_share:.0%}")
 
 
-def guarded_write(outputs: Mapping[str, tuple[DataFrame, str]], missing: Column,
-                  max_null_share: float = MAX_NULL_SHARE) -> None:
-    """Write all outputs as JSON lines, or none: every one is checked before the first write.
+def guarded_write(releases: Releases, outputs: Mapping[str, DataFrame], missing: Column,
+                  max_null_share: float = MAX_NULL_SHARE, tag: str = "") -> int:
+    """Write all outputs as JSON lines and make them current together, or none of them.
 
-    ``outputs`` maps a label to its records and target path. Records are staged in the
-    shared folder first, so that what was checked is exactly what gets written, even when
-    executors are lost or a target is also an input.
+    Outputs are written as new versions and what was written is checked, so a commit states
+    exactly what passed the check, even when executors are lost or an output is also an input.
+    Whatever fails before the commit leaves the old versions current. Returns its number.
     """
-    staged = {}
-    for label, (df, path) in outputs.items():
-        staged[label] = (write_table(df, scratch(df.sparkSession, "staged")), path)
-        check(staged[label][0], missing, label, max_null_share)
-    for df, path in staged.values():
-        df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    paths = {}
+    for name, df in outputs.items():
+        paths[name] = releases.stage(name, lambda path: df.write.option(
+            "ignoreNullFields", False).json(path))
+        written = releases.spark.read.schema(df.schema).json(paths[name])
+        check(written, missing, name, max_null_share)
+    return releases.commit(paths, tag)

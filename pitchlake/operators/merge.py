@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from graphlib import TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchlake.functions.keys import NULL_MARK, joined_key
 from pitchlake.functions.text import last_token
+from pitchlake.operators.contract import Contract, ForeignKey
 from pitchlake.operators.snapshot import latest
 
 # Fields whose inferred type drifts between snapshots, by asset.
@@ -62,7 +64,7 @@ def upsert(new: DataFrame, old: DataFrame | None, keys: Mapping[str, Column] | S
     return kept.drop("__new", *marked)
 
 
-def merge_asset(new: DataFrame, old: DataFrame | None, asset: str) -> DataFrame:
+def merge_asset(new: DataFrame, old: DataFrame | None = None, *, asset: str) -> DataFrame:
     """Upsert of typed records of one asset; records without any key are all kept, once each."""
     if old is None:
         return new
@@ -157,3 +159,47 @@ def scope_chain(assets: Mapping[str, DataFrame], competitions: Iterable[str] | N
         limit("players", "clubs")
     limit("appearances", "players")
     return out
+
+
+def scope_closure(tables: Mapping[str, DataFrame], contracts: Iterable[Contract],
+                  start: Mapping[str, Column | DataFrame]) -> dict[str, DataFrame]:
+    """Restrict tables to what depends on a part of some of them.
+
+    ``start`` names tables with a condition, or with a table of the key values to keep. Every
+    table that declares a relationship to a restricted one, directly or over others, keeps the
+    rows of which at least one such relationship leads to a row that is kept. Tables that
+    nothing restricted is declared for stay whole.
+    """
+    links = [(c.name, key) for c in contracts for key in c.foreign_keys
+             if c.name in tables and key.table in tables and c.name != key.table]
+    reached, waiting = set(start), list(start)
+    while waiting:
+        parent = waiting.pop()
+        new = {child for child, key in links if key.table == parent} - reached
+        reached |= new
+        waiting += new
+    parents = {name: {key.table for child, key in links if child == name and key.table in reached}
+               for name in reached - set(start)}
+    out = dict(tables)
+    for name in TopologicalSorter({**{s: () for s in start}, **parents}).static_order():
+        if name not in start:
+            own = [key for child, key in links if child == name and key.table in reached]
+            out[name] = _linked(tables[name], own, out)
+        elif isinstance(start[name], DataFrame):
+            out[name] = tables[name].join(start[name], start[name].columns, "left_semi")
+        else:
+            out[name] = tables[name].filter(start[name])
+    return out
+
+
+def _linked(df: DataFrame, keys: Sequence[ForeignKey], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of which at least one key leads to a row of its parent."""
+    joined, marks = df, []
+    for i, key in enumerate(keys):
+        names = [f"__p{i}_{j}" for j in range(len(key.columns))]
+        there = parents[key.table].select(
+            *[F.col(t).alias(n) for t, n in zip(key.target, names)]).distinct()
+        joined = joined.join(there.withColumn(f"__there{i}", F.lit(True)),
+                             [F.col(c) == F.col(n) for c, n in zip(key.columns, names)], "left")
+        marks.append(F.col(f"__there{i}"))
+    return joined.filter(F.coalesce(*marks)).select(*df.columns)

@@ -12,7 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pitchlake.operators.contract import Contract, column_differences
+from pitchlake.operators.contract import Contract, ForeignKey, column_differences
+from pitchlake.session import scratch
+from pitchlake.sinks.writers import write_table
 
 REPORT = "check string, table string, column string, severity string, failures bigint, detail string"
 
@@ -106,12 +108,55 @@ def missing_columns(df: DataFrame, table: str, declared: Sequence[str]) -> DataF
         F.lit(", ".join(lacking)).alias("detail"))
 
 
+WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def id_bitmaps(df: DataFrame, groups: Sequence[str], ids: Mapping[str, str]) -> DataFrame:
+    """Bitmaps of whole-number ids: rows ``(groups, kind, bucket, bits)``.
+
+    ``ids`` maps a kind to its column. A bitmap holds the ids of one bucket of 32,768
+    neighbours, so each task sends one for every group and bucket it has seen, however many
+    rows it has. Ids of NULL are left out, groups without any id keep a row.
+    """
+    kinds = F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(column).cast("long").alias("id"))
+        for kind, column in ids.items()]))
+    rows = df.select(*groups, kinds.alias("k")).select(*groups, "k.kind", "k.id")
+    return rows.groupBy(*groups, "kind", F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Bitmaps of larger groups, from those of smaller ones."""
+    return bitmaps.groupBy(*groups, "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def count_bitmaps(bitmaps: DataFrame, groups: Sequence[str], kinds: Iterable[str]) -> DataFrame:
+    """Distinct ids of every group, one column per kind."""
+    return bitmaps.groupBy(*groups).agg(*[
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bitmap_count("bits"))), F.lit(0)).alias(kind)
+        for kind in kinds])
+
+
+def distinct_ids(df: DataFrame, groups: Sequence[str], ids: Mapping[str, str]) -> DataFrame:
+    """Distinct ids per group for several columns at once.
+
+    Whole numbers are counted by bitmaps, in one pass over the rows. Other types are counted
+    as Spark does it.
+    """
+    types = dict(df.dtypes)
+    if all(types[column] in WHOLE for column in ids.values()):
+        return count_bitmaps(id_bitmaps(df, groups, ids), groups, ids)
+    return df.groupBy(*groups).agg(
+        *[F.countDistinct(column).alias(kind) for kind, column in ids.items()])
+
+
 def few_distinct(df: DataFrame, column: str, group: Column, above: int,
                  condition: Column) -> DataFrame:
     """Groups among the rows under ``condition`` with too few distinct values."""
-    return (df.filter(condition).groupBy(group.alias("grp"))
-            .agg(F.countDistinct(column).alias("distinct_values"))
-            .filter(F.col("distinct_values") <= above))
+    rows = df.filter(condition).select(group.alias("grp"), column)
+    return distinct_ids(rows, ["grp"], {"distinct_values": column}).filter(
+        F.col("distinct_values") <= above)
 
 
 def date_gaps(df: DataFrame, column: str, part: str, start: str, end: str) -> DataFrame:
@@ -137,21 +182,97 @@ def orphans(child: DataFrame, columns: Sequence[str], parent: DataFrame,
     return keys.join(parents, list(columns), "left_anti")
 
 
+def key_counts(df: DataFrame, table: str, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Rows of every value of every key, in one scan: ``(table, key, values, rows)``.
+
+    Values are text, so that keys of different integer types compare.
+    """
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(",".join(key)).alias("key"),
+                 F.array(*[F.col(c).cast("string") for c in key]).alias("values"))
+        for key in keys]))
+    return (df.select(entries.alias("e")).select("e.*").groupBy("key", "values")
+            .agg(F.count("*").alias("rows"))
+            .select(F.lit(table).alias("table"), "key", "values", "rows"))
+
+
+def key_index(tables: Mapping[str, DataFrame], unique: Mapping[str, Sequence[Sequence[str]]],
+              contracts: Iterable[Contract], path: str) -> DataFrame:
+    """Counts of all keys that are declared unique or take part in a relationship, stored.
+
+    Every table is scanned once, whatever the number of its keys. The stored counts serve
+    uniqueness and both sides of all foreign keys.
+    """
+    wanted: dict[str, dict[tuple, None]] = {n: {} for n in tables}
+    for table, keys in unique.items():
+        if table in tables:
+            wanted[table].update(dict.fromkeys(map(tuple, keys)))
+    for contract, key in _links(tables, contracts):
+        wanted[contract.name][tuple(key.columns)] = None
+        wanted[key.table][tuple(key.target)] = None
+    parts = [key_counts(tables[table], table, list(keys)) for table, keys in wanted.items() if keys]
+    return write_table(report(parts), path, ["table", "key"])
+
+
+def _links(tables: Mapping[str, DataFrame],
+           contracts: Iterable[Contract]) -> list[tuple[Contract, ForeignKey]]:
+    return [(contract, key) for contract in contracts for key in contract.foreign_keys
+            if contract.name in tables and key.table in tables]
+
+
+def _complete() -> Column:
+    return ~F.exists("values", lambda v: v.isNull())
+
+
+def index_unique(index: DataFrame, unique: Mapping[str, Sequence[Sequence[str]]],
+                 tables: Iterable[str]) -> DataFrame:
+    """Report on all keys that have to be unique; keys with a NULL are left out."""
+    tables = set(tables)
+    declared = index.sparkSession.createDataFrame(
+        [(t, ",".join(k)) for t, keys in unique.items() if t in tables for k in keys],
+        "table string, key string")
+    found = index.filter(_complete() & (F.col("rows") > 1)).groupBy("table", "key").agg(
+        F.count("*").alias("failures"))
+    return declared.join(found, ["table", "key"], "left").select(
+        F.lit("unique").alias("check"), "table", F.col("key").alias("column"),
+        F.lit("error").alias("severity"), F.coalesce("failures", F.lit(0)).alias("failures"),
+        F.lit(None).cast("string").alias("detail"))
+
+
+def index_foreign_keys(index: DataFrame, tables: Mapping[str, DataFrame],
+                       contracts: Iterable[Contract]) -> DataFrame:
+    """Report on all declared relationships, by one join over the counts of their keys."""
+    links = index.sparkSession.createDataFrame(
+        [(c.name, ",".join(k.columns), k.table, ",".join(k.target))
+         for c, k in _links(tables, contracts)],
+        "table string, key string, parent string, target string")
+    child = index.filter(_complete()).join(links, ["table", "key"])
+    parent = index.select(F.col("table").alias("parent"), F.col("key").alias("target"),
+                          "values").join(links, ["parent", "target"])
+    link = ["table", "key", "parent", "target"]
+    lost = child.join(parent, [*link, "values"], "left_anti").groupBy(*link).agg(
+        F.sum("rows").alias("failures"), F.count("*").alias("keys"))
+    zero = F.lit(0).cast("long")
+    return links.join(lost, link, "left").select(
+        F.lit("foreign_key").alias("check"), "table", F.col("key").alias("column"),
+        F.lit("error").alias("severity"), F.coalesce("failures", zero).alias("failures"),
+        F.concat("parent", F.lit(": "), F.coalesce("keys", zero).cast("string"),
+                 F.lit(" keys")).alias("detail"))
+
+
 def foreign_keys(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
     """Report on every declared relationship whose two tables are given."""
     parts = []
-    for contract in contracts:
-        for key in contract.foreign_keys:
-            if contract.name in tables and key.table in tables:
-                lost = orphans(tables[contract.name], key.columns, tables[key.table], key.target)
-                parts.append(lost.agg(
-                    F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"),
-                    F.count("*").alias("keys")).select(
-                        F.lit("foreign_key").alias("check"), F.lit(contract.name).alias("table"),
-                        F.lit(",".join(key.columns)).alias("column"),
-                        F.lit("error").alias("severity"), "failures",
-                        F.concat(F.lit(key.table + ": "), F.col("keys").cast("string"),
-                                 F.lit(" keys")).alias("detail")))
+    for contract, key in _links(tables, contracts):
+        lost = orphans(tables[contract.name], key.columns, tables[key.table], key.target)
+        parts.append(lost.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"),
+            F.count("*").alias("keys")).select(
+                F.lit("foreign_key").alias("check"), F.lit(contract.name).alias("table"),
+                F.lit(",".join(key.columns)).alias("column"),
+                F.lit("error").alias("severity"), "failures",
+                F.concat(F.lit(key.table + ": "), F.col("keys").cast("string"),
+                         F.lit(" keys")).alias("detail")))
     return report(parts)
 
 
@@ -200,12 +321,12 @@ def incomplete_round_robin(games: DataFrame, group: str, season: str, game: str,
 
     The newest season is still running and left out, as are groups seen in one season
     only, groups of another format, and single (group, season) exceptions. ``members``
-    restricts the groups that are checked.
+    restricts the groups that are checked. Games are scanned once; the few counts by group and
+    season are stored, since three questions are asked of them.
     """
-    per_season = games.groupBy(group, season).agg(
-        F.countDistinct(game).alias("actual_games"),
-        F.countDistinct(club).alias("season_clubs"))
-    newest = games.agg(F.max(season)).scalar()
+    counts = distinct_ids(games, [group, season], {"actual_games": game, "season_clubs": club})
+    per_season = write_table(counts, scratch(games.sparkSession, "seasons"))
+    newest = per_season.agg(F.max(season)).scalar()
     lasting = (per_season.groupBy(group).agg(F.count(season).alias("seasons"))
                .filter("seasons > 1").select(group))
     counted = per_season.filter(F.col(season) != newest)

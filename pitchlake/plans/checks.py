@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pitchlake.functions.text import to_int
 from pitchlake.operators import quality as q
 from pitchlake.plans.contracts import CONTRACTS
+from pitchlake.session import scratch
 from pitchlake.sources import layouts
 
 # Accepted row counts of a full build.
@@ -147,12 +148,13 @@ def league_checks(t: Mapping[str, DataFrame]) -> list[DataFrame]:
 
 def history_checks(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Checks against the raw responses."""
-    values = layouts.parse(raw["raw.market_values"], layouts.MARKET_VALUES)
+    values = layouts.parse(raw["raw.market_values"], layouts.ANY_RESPONSE)
     shares = q.null_shares(values, "season", F.col("response").isNull())
-    moves = layouts.parse(raw["raw.transfers"], layouts.TRANSFERS)
-    moves = moves.select(to_int(F.col("player_id")).alias("player_id"),
-                         F.explode("response.transfers").alias("move"))
-    usable = ~F.col("move.dateUnformatted").isin("", "0000-00-00")
+    moves = layouts.parse(raw["raw.transfers"], layouts.TRANSFER_DATES).withColumn(
+        "player_id", to_int(F.col("player_id")))
+    # One usable move is enough, so moves are not expanded.
+    usable = F.exists("response.transfers",
+                      lambda move: ~move["dateUnformatted"].isin("", "0000-00-00"))
     return [
         q.verdict(shares.filter(F.col("null_pct") > NULL_RESPONSE_PCT),
                   "null_responses", "raw.market_values", "response", "warn"),
@@ -162,16 +164,21 @@ def history_checks(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame]) ->
 
 
 def warehouse_report(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
-                     as_of=None) -> DataFrame:
-    """One row per check over base and curated tables."""
+                     as_of=None, unreadable: DataFrame | None = None) -> DataFrame:
+    """One row per check over base and curated tables.
+
+    ``unreadable`` adds the counts of lines and cells that the build could not read. Row rules
+    of a table take one scan and all its keys another, whose counts are stored and serve
+    uniqueness and relationships.
+    """
     as_of = F.current_date() if as_of is None else as_of
+    spark = next(iter(t.values())).sparkSession
+    index = q.key_index(t, UNIQUE, CONTRACTS.values(), scratch(spark, "keys"))
     parts = []
     for table, df in t.items():
         rules = row_rules(table, as_of)
         if rules:
             parts.append(q.measure(df, table, rules))
-        for key in UNIQUE.get(table, []):
-            parts.append(q.verdict(q.duplicates(df, key), "unique", table, ",".join(key)))
         if table in CONTRACTS:
             parts.append(q.missing_columns(df, table, CONTRACTS[table].columns))
     date = F.col("date")
@@ -192,5 +199,7 @@ def warehouse_report(t: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
         "club_transitions", "player_valuations", "current_club_id"))
     parts += league_checks(t)
     parts += history_checks(t, raw)
-    parts.append(q.foreign_keys(t, CONTRACTS.values()))
+    parts += [q.index_unique(index, UNIQUE, t), q.index_foreign_keys(index, t, CONTRACTS.values())]
+    if unreadable is not None:
+        parts.append(unreadable)
     return q.report(parts)

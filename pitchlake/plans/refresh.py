@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,23 +12,30 @@ from pitchlake.operators.gate import MAX_NULL_SHARE, guarded_write
 from pitchlake.operators.merge import (
     JSON_FIELDS, TEXT_FIELDS, merge_asset, retry_overlay, within)
 from pitchlake.sinks.writers import export_json
-from pitchlake.sources.snapshots import read_records
+from pitchlake.sinks.releases import Releases
+from pitchlake.sources import records
 
 
 def merge_snapshot(spark: SparkSession, new: str, old: str | None, asset: str, target: str,
-                   schema=None) -> str:
+                   quarantine: str | None = None) -> str:
     """Merge new records into the stored ones and write the result to a new path.
 
-    The old files stay untouched; the caller points to ``target`` once it is complete.
+    Both sides are typed together, so a field whose type has changed since the old records
+    were stored does not stop the merge. Lines that are no JSON objects go to ``quarantine``;
+    without one they are an error, since the merge would lose them. The old files stay
+    untouched; the caller points to ``target`` once it is complete.
     """
-    forced = {"text": TEXT_FIELDS.get(asset, ()), "as_json": JSON_FIELDS.get(asset, ())}
-    fresh = read_records(spark, new, schema, **forced)
-    if fresh.isEmpty():
+    sides = [records.read_variants(spark, path) for path in (new, old) if path]
+    lost = reduce(DataFrame.union, [records.unreadable(side) for side in sides])
+    if not lost.isEmpty():
+        if quarantine is None:
+            raise ValueError(f"{lost.count()} lines of {asset} are no JSON objects")
+        lost.write.parquet(quarantine)
+    if records.readable(sides[0]).isEmpty():
         raise ValueError(f"no new records of {asset} in {new}")
-    stored = read_records(spark, old, schema, **forced) if old else None
-    if stored is not None and (not stored.columns or stored.isEmpty()):
-        stored = None
-    return export_json(merge_asset(fresh, stored, asset), target)
+    forced = {*TEXT_FIELDS.get(asset, ()), *JSON_FIELDS.get(asset, ())}
+    sides = [s for s in sides if not records.readable(s).isEmpty()]
+    return export_json(merge_asset(*records.unite(sides, forced), asset=asset), target)
 
 
 def player_ids(players: DataFrame, clubs: DataFrame | None = None,
@@ -48,15 +56,20 @@ def player_ids(players: DataFrame, clubs: DataFrame | None = None,
     return rows.select(F.col("id").try_cast("int").alias("player_id"))
 
 
+VALUES_FILE, TRANSFERS_FILE = "market_values.json", "transfers.json"
+
+
 def store_responses(market_values: DataFrame, transfers: DataFrame, requested: DataFrame,
-                    values_path: str, transfers_path: str,
-                    max_null_share: float = MAX_NULL_SHARE,
-                    missing: Column | None = None) -> None:
-    """Keep requested players, then write both response sets or neither."""
+                    releases: Releases, max_null_share: float = MAX_NULL_SHARE,
+                    missing: Column | None = None) -> int:
+    """Keep requested players, then store both response sets of a season or neither.
+
+    ``releases`` is the store of the season below the root that ``read_sources`` reads.
+    """
     missing = F.col("response").isNull() if missing is None else missing
     kept = within(transfers, requested, "player_id", "player_id")
-    guarded_write({"market values": (market_values, values_path),
-                   "transfers": (kept, transfers_path)}, missing, max_null_share)
+    return guarded_write(releases, {VALUES_FILE: market_values, TRANSFERS_FILE: kept}, missing,
+                         max_null_share)
 
 
 def with_retries(first: DataFrame, retries: Iterable[DataFrame]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pitchlake.operators.watch import Watch
+
 # Competitions whose appearances are kept.
 COMPETITION_CODES = (
     "ES1", "GB1", "L1", "IT1", "FR1", "GR1", "PO1", "BE1", "EJPL", "POBE", "BPO4", "UKR1",
@@ -16,7 +18,11 @@ COMPETITION_CODES = (
 
 @dataclass(frozen=True)
 class Settings:
-    """``site_root`` goes before every profile link; ``as_of`` stands in for today."""
+    """``site_root`` goes before every profile link; ``as_of`` stands in for today.
+
+    ``watch`` counts what could not be read while one table is written.
+    """
     site_root: str = ""
     as_of: str | None = None
     competition_codes: tuple[str, ...] = field(default=COMPETITION_CODES)
+    watch: Watch | None = field(default=None, compare=False, repr=False)

@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pitchlake.sinks.releases import Releases
+
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFrame:
     """Full overwrite as parquet, read back so that later plans start from the written table."""
@@ -58,10 +60,14 @@ def version_table(spark: SparkSession, commit: str) -> DataFrame:
 
 
 def publish(tables: Mapping[str, DataFrame], target: str, commit: str) -> dict[str, str]:
-    """Copy tables and a one-row ``version`` below a clean target; returns path by table."""
+    """Copy tables and a one-row ``version`` below a target; returns path by table.
+
+    All of them become current together: until then readers of the target find the tables
+    that were published before.
+    """
     spark = next(iter(tables.values())).sparkSession
-    paths = {}
-    for name, df in {**tables, "version": version_table(spark, commit)}.items():
-        paths[name] = f"{target}/{name}"
-        df.write.mode("errorifexists").parquet(paths[name])
+    releases = Releases(spark, target)
+    paths = {name: releases.stage(name, df.write.parquet)
+             for name, df in {**tables, "version": version_table(spark, commit)}.items()}
+    releases.commit(paths, commit)
     return paths

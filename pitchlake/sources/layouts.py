@@ -5,7 +5,11 @@ Lists keep their elements as JSON text, so that rows can be compared before proj
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from pitchlake.operators.watch import Watch
 
 APPEARANCES = """
     href string, game_id string, result struct<href: string>, competition_code string,
@@ -70,13 +74,61 @@ TRANSFERS = """
         fee: string, marketValue: string>>>"""
 
 
-def parse(raw: DataFrame, layout: str) -> DataFrame:
-    """Replace the line by its fields, parsing every line exactly once.
+# What checks on responses need to know of them.
+ANY_RESPONSE = "player_id string, response struct<list: string>"
+TRANSFER_DATES = """
+    player_id string, response struct<transfers: array<struct<dateUnformatted: string>>>"""
+
+LAYOUTS = {
+    "raw.appearances": APPEARANCES, "raw.games": GAMES, "raw.game_lineups": GAME_LINEUPS,
+    "raw.players": PLAYERS, "raw.clubs": CLUBS, "raw.national_teams": NATIONAL_TEAMS,
+    "raw.market_values": MARKET_VALUES, "raw.transfers": TRANSFERS,
+    "raw.competitions": COMPETITIONS, "raw.countries": COUNTRIES,
+}
+
+# Holds the whole line where a part of it does not fit the layout.
+CORRUPT = "__corrupt"
+
+
+def _parsed(raw: DataFrame, layout: str) -> DataFrame:
+    """Fields of every line and, for a line that does not fit, the line itself.
 
     ``inline`` keeps filters on fields from being moved below the parse, where each of them
     would parse the line again. The hash is a stable stand-in for the line in tie-breaks,
     far narrower than the line itself.
     """
     others = [c for c in raw.columns if c != "value"]
-    return raw.select(*others, F.xxhash64("value").alias("line_hash"),
-                      F.inline(F.array(F.from_json("value", layout))))
+    record = F.from_json("value", f"{layout}, {CORRUPT} string",
+                         {"columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(*others, F.xxhash64("value").alias("line_hash"), F.inline(F.array(record)))
+
+
+def _unreadable(rows: DataFrame, raw: DataFrame) -> Column:
+    """Whether nothing could be read from a line.
+
+    A line is not lost because one field has another shape than the layout: that field is NULL.
+    """
+    fields = [c for c in rows.columns if c not in {*raw.columns, "line_hash", CORRUPT}]
+    nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in fields])
+    return F.col(CORRUPT).isNotNull() & nothing
+
+
+def parse(raw: DataFrame, layout: str, watch: Watch | None = None, source: str = "") -> DataFrame:
+    """Replace the line by its fields, parsing every line exactly once.
+
+    Lines that are no JSON objects are left out; a ``watch`` counts them in passing, and lines
+    of which a field has another shape.
+    """
+    rows = _parsed(raw, layout)
+    lost = _unreadable(rows, raw)
+    if watch:
+        rows = watch.over(rows, "unreadable_line", source, {
+            "*": F.count_if(lost), "part": F.count_if(F.col(CORRUPT).isNotNull() & ~lost)})
+    return rows.filter(~lost).drop(CORRUPT)
+
+
+def quarantine(raw: DataFrame, layout: str, source: str) -> DataFrame:
+    """The lines of a source that ``parse`` leaves out, with their origin."""
+    rows = _parsed(raw, layout)
+    return rows.filter(_unreadable(rows, raw)).select(
+        F.lit(source).alias("source"), "season", "filename", F.col(CORRUPT).alias("value"))

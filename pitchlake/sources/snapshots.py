@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pitchlake.sources import records
+
 # What the CSV reader takes for NULL besides absent fields; no exported text holds it.
 NO_TEXT = "\0"
 
@@ -25,9 +27,12 @@ def expand_seasons(text: str, most: int | None = None) -> list[int]:
 
 
 def season_of(path: Column) -> Column:
-    """The folder that holds the file names the season, ``2024`` or ``season=2024``."""
-    folder = F.try_element_at(F.split(path, "/"), F.lit(-2))
-    return F.regexp_extract(folder, "^(?:.*=)?([0-9]+)$", 1).try_cast("int")
+    """The folder that holds the file names the season, ``2024`` or ``season=2024``.
+
+    A file that Spark has written is a folder of parts, maybe with a folder per version.
+    """
+    folder = r"/(?:[^/]*=)?([0-9]+)/[^/]+(?:(?<=\.json|\.gz)(?:/version-[0-9a-f]+)?/[^/]+)?$"
+    return F.regexp_extract(path, folder, 1).try_cast("int")
 
 
 def file_name(path: Column) -> Column:
@@ -58,13 +63,19 @@ def read_snapshots(spark: SparkSession, paths: str | list[str],
 
 def read_records(spark: SparkSession, paths: str | list[str], schema=None,
                  text: Iterable[str] = (), as_json: Iterable[str] = ()) -> DataFrame:
-    """Typed JSON records, inferred over all lines unless a schema is given.
+    """Typed JSON records, with the united type of all lines unless a schema is given.
 
-    Columns whose inferred type drifts between files are forced to text (``text``) or to
-    JSON text (``as_json``), so files of different age can be united by name.
+    Columns whose type drifts between files are forced to text (``text``) or to JSON text
+    (``as_json``), so files of different age can be united by name. Lines that cannot be read
+    are an error.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return force_types(reader.json(paths), text, as_json)
+    if schema is not None:
+        return force_types(spark.read.schema(schema).json(paths), text, as_json)
+    rows = records.read_variants(spark, paths)
+    lost = records.unreadable(rows).count()
+    if lost:
+        raise ValueError(f"{lost} lines are no JSON objects in {paths}")
+    return records.unite([rows], {*text, *as_json})[0]
 
 
 def force_types(df: DataFrame, text: Iterable[str] = (), as_json: Iterable[str] = ()) -> DataFrame:

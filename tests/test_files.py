@@ -5,6 +5,7 @@ import pytest
 from pitchlake.plans.contracts import CONTRACTS
 from pitchlake.plans.warehouse import export, load, publish_curated
 from pitchlake.sinks import writers
+from pitchlake.sinks.releases import Releases
 from pitchlake.sources import snapshots
 
 
@@ -61,8 +62,13 @@ def test_publish(spark, tables, tmp_path):
     assert set(paths) == set(CONTRACTS) | {"version"}
     assert spark.read.parquet(paths["version"]).first().commit_hash == "abc123"
     assert spark.read.parquet(paths["games"]).count() == tables["games"].count()
-    with pytest.raises(Exception, match="(?i)exists"):
-        publish_curated(tables, str(tmp_path / "out"), "abc123")
+    # The next set takes the place of the first at once; the first stays readable.
+    again = publish_curated({"games": tables["games"].limit(1)}, str(tmp_path / "out"), "def456")
+    found = Releases(spark, str(tmp_path / "out")).tables()
+    assert set(found) == set(paths) and found["games"].count() == 1
+    assert found["version"].first().commit_hash == "def456"
+    assert spark.read.parquet(paths["version"]).first().commit_hash == "abc123"
+    assert again["games"] != paths["games"]
 
 
 def test_save_table(spark, tables):

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pitchlake.operators import analyst, contract, gate, merge, quality, reshape, snapshot
 from pitchlake.operators.asof import DATE_GRAINS, TIMESTAMP_GRAINS, asof_join
 from pitchlake.plans import refresh
+from pitchlake.sinks.releases import Releases
+from pitchlake.sources import snapshots
+from pitchlake.streaming import arrivals
 
 
 def brute_asof(left, right):
@@ -124,24 +127,144 @@ def test_gate(spark, total, nulls, accepted):
             gate.check(df, F.col("response").isNull(), "x")
 
 
+def stored(spark, store):
+    schema = "player_id int, response string"
+    return {name: sorted(r.player_id for r in spark.read.schema(schema).json(path).collect())
+            for name, path in store.current().items()}
+
+
 def test_nothing_is_written_when_one_output_is_poor(spark, tmp_path):
     good, poor = responses(spark, 10, 0), responses(spark, 10, 9)
-    wanted = good.select("player_id")
+    wanted, store = good.select("player_id"), Releases(spark, str(tmp_path / "store"))
     with pytest.raises(gate.RefusedWrite):
-        refresh.store_responses(good, poor, wanted, str(tmp_path / "v"), str(tmp_path / "t"))
-    assert not (tmp_path / "v").exists() and not (tmp_path / "t").exists()
+        refresh.store_responses(good, poor, wanted, store)
+    assert store.current() == {}
     extra = spark.createDataFrame([(99, "x")], "player_id int, response string")
-    refresh.store_responses(good, good.union(extra), wanted, str(tmp_path / "v"),
-                            str(tmp_path / "t"))
-    assert spark.read.json(str(tmp_path / "t")).count() == 10
+    refresh.store_responses(good, good.union(extra), wanted, store)
+    assert stored(spark, store) == {"market_values.json": list(range(10)),
+                                    "transfers.json": list(range(10))}
+
+
+def test_a_failure_between_two_outputs_leaves_both_old_ones(spark, tmp_path, monkeypatch):
+    store = Releases(spark, str(tmp_path / "store"))
+    missing = F.col("response").isNull()
+    old = {"a": responses(spark, 3, 0), "b": responses(spark, 4, 0)}
+    gate.guarded_write(store, old, missing)
+    before = stored(spark, store)
+    broken = responses(spark, 5, 0).withColumn("response", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        gate.guarded_write(store, {"a": responses(spark, 9, 0), "b": broken}, missing)
+    assert stored(spark, store) == before
+    # Everything is written, and the commit itself fails.
+    monkeypatch.setattr(Releases, "commit", lambda *a, **b: (_ for _ in ()).throw(OSError("disk")))
+    with pytest.raises(OSError):
+        gate.guarded_write(store, {n: responses(spark, 9, 0) for n in old}, missing)
+    monkeypatch.undo()
+    assert stored(spark, store) == before and store.number() == 1
+    gate.guarded_write(store, {"b": responses(spark, 6, 0)}, missing, tag="later")
+    assert stored(spark, store) == {**before, "b": list(range(6))}
+    assert store.has("later") and not store.has("other") and store.current(1) != store.current()
 
 
 def test_guarded_write_may_replace_its_own_input(spark, tmp_path):
-    path = str(tmp_path / "v")
-    responses(spark, 10, 0).write.json(path)
-    kept = spark.read.json(path).filter("player_id > 3")
-    gate.guarded_write({"values": (kept, path)}, F.col("response").isNull())
-    assert spark.read.json(path).count() == 6
+    store = Releases(spark, str(tmp_path / "store"))
+    missing = F.col("response").isNull()
+    gate.guarded_write(store, {"values": responses(spark, 10, 0)}, missing)
+    kept = spark.read.json(store.current()["values"]).filter("player_id > 3")
+    gate.guarded_write(store, {"values": kept}, missing)
+    assert stored(spark, store) == {"values": [4, 5, 6, 7, 8, 9]}
+
+
+def test_merge_survives_drift_at_any_depth(spark, tmp_path):
+    (tmp_path / "old.json").write_text("\n".join([
+        '{"href":"/p/1","height":185,"box":{"deep":{"x":1},"same":"a"},"list":[1,2],"gone":true}',
+        '{"href":"/p/2","height":1.5,"box":{"deep":{"x":2},"same":"b"},"list":[],"none":null}']))
+    (tmp_path / "new.json").write_text("\n".join([
+        '{"href":"/p/2","height":"1,85 m","box":{"deep":"flat","more":7},"list":"one"}',
+        '{"href":"/p/3","height":null,"odd name":{"a`b":[{"c":1}]}}', '{"href": broken', '[3]']))
+    new, old, target = (str(tmp_path / n) for n in ("new.json", "old.json", "out.json"))
+    with pytest.raises(ValueError, match="2 lines"):
+        refresh.merge_snapshot(spark, new, old, "countries", target)
+    refresh.merge_snapshot(spark, new, old, "countries", target, str(tmp_path / "lost"))
+    schema = ("href string, height string, box struct<deep: string, same: string, more: long>, list string,"
+              "gone boolean, `odd name` struct<`a``b`: array<struct<c: long>>>")
+    rows = {r.href: r for r in spark.read.schema(schema).json(target).collect()}
+    assert [rows[f"/p/{i}"].height for i in (1, 2, 3)] == ["185", "1,85 m", None]
+    assert rows["/p/1"].box == ('{"x":1}', "a", None) and rows["/p/2"].box == ("flat", None, 7)
+    assert rows["/p/1"]["list"] == "[1,2]" and rows["/p/2"]["list"] == "one" and rows["/p/1"].gone
+    assert rows["/p/3"]["odd name"][0][0].c == 1
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "lost")).collect()) == [
+        "[3]", '{"href": broken']
+
+
+def test_records_with_nothing_to_unite(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{}\n{"x":{}}\n')
+    (tmp_path / "b.json").write_text("not json\n")
+    got = snapshots.read_records(spark, str(tmp_path / "a.json"))
+    assert sorted(map(tuple, got.collect()), key=str) == [("{}",), (None,)]
+    with pytest.raises(ValueError, match="1 lines"):
+        snapshots.read_records(spark, str(tmp_path / "b.json"))
+
+
+def test_season_of_files_and_folders_of_parts(spark):
+    paths = {"/r/2024/games.json.gz": 2024, "/r/season=2023/x.json": 2023, "/r/plain/x.json": None,
+             "/r/2024/plain/x.json": None, "/r/2022/values.json/part-0.json": 2022,
+             "/r/2021/values.json/version-0a9/part-0.json": 2021, "/r/week=3/part-1.txt.gz": 3}
+    df = spark.createDataFrame(list(paths.items()), "path string, want int")
+    got = df.withColumn("season", snapshots.season_of(F.col("path"))).collect()
+    assert all(r.season == r.want for r in got), got
+
+
+def test_arrivals_are_merged_once(spark, tmp_path):
+    inbox, store, seen = (tmp_path / n for n in ("in", "store", "seen"))
+
+    def put(season, name, *lines):
+        (inbox / season).mkdir(parents=True, exist_ok=True)
+        (inbox / season / name).write_text("\n".join(lines))
+
+    def follow():
+        return arrivals.follow(spark, f"{inbox}/*", "players", str(store), str(seen))
+
+    def lines():
+        rows = arrivals.stored_lines(spark, str(store), "players").collect()
+        return sorted((r.season, r.value) for r in rows)
+
+    put("2023", "a.json", '{"href":"/p/1","v":1}', '{"href":"/p/2","v":1}', "", "no key")
+    put("2024", "a.json", '{"href":"/p/1","v":"two"}')
+    assert follow() == 1
+    first = lines()
+    assert first == [(2023, "no key"), (2023, '{"href":"/p/1","v":1}'), (2023, '{"href":"/p/2","v":1}'),
+                     (2024, '{"href":"/p/1","v":"two"}')]
+    assert follow() == 1 and lines() == first
+    put("2023", "b.json", '{"href":"/p/2","v":[2]}', '{"href":"/p/3","v":3}', "no key")
+    # The stream forgets that it has finished its last batch, and runs it again.
+    for mark in (seen / "commits").glob("*0*"):
+        mark.unlink()
+    assert follow() == 2
+    assert lines() == [(2023, "no key"), (2023, '{"href":"/p/1","v":1}'), (2023, '{"href":"/p/2","v":[2]}'),
+                       (2023, '{"href":"/p/3","v":3}'), (2024, '{"href":"/p/1","v":"two"}')]
+
+
+def test_diff_of_many_copies_is_a_few_runs(spark):
+    many = spark.range(300_000).select(F.lit(None).cast("string").alias("k"), F.lit("a").alias("v"))
+    few = spark.createDataFrame([(None, "b"), (None, "c"), ("x", "z")], "k string, v string")
+    got = sorted(map(tuple, analyst.table_diff(many, few, ["k"]).collect()))
+    assert got == [("added", "*", 1), ("changed", "v", 2), ("removed", "*", 299_998)]
+    runs = spark.createDataFrame([(None, "a", 300_000, False), (None, "b", 70_000, True)],
+                                 "k string, v string, __n long, __new boolean")
+    pairs = analyst._overlaps(runs, ["k"], ["v"]).collect()
+    assert sum(r["__n"] for r in pairs if r["__a"] and r["__b"]) == 70_000
+    assert sum(r["__n"] for r in pairs) == 300_000 and len(pairs) < 10
+
+
+def test_round_robin_counts_without_expanding(spark):
+    games = spark.createDataFrame([(1, 2020, i, i % 3) for i in range(6)] + [(1, 2021, 9, 0), (1, 2022, 10, 1)],
+                                  "league int, season int, game int, club int")
+    counts = quality.distinct_ids(games, ["league", "season"], {"games": "game", "clubs": "club"})
+    assert "Expand" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, counts.collect())) == [(1, 2020, 6, 3), (1, 2021, 1, 1), (1, 2022, 1, 1)]
+    found = quality.incomplete_round_robin(games, "league", "season", "game", "club").collect()
+    assert [(r.season, r.actual_games, r.expected_games) for r in found] == [(2021, 1, 0)]
 
 
 def test_retries_fill_only_what_is_missing(spark):

@@ -193,3 +193,109 @@ def test_report(spark, tables, raw):
     assert rows["club_plays_game", "appearances", "player_club_id"].failures == 0
     assert rows["number_of_leagues", "competitions", "sub_type"].failures == 1
     assert rows["clubs_per_league", "clubs", "domestic_competition_id"].failures == 1
+
+
+def small_sources(spark):
+    lines = ['{"href":"/c/startseite/verein/10","name":"Ten","squad_size":"7"}',
+             '{"href":"/c/startseite/verein/20","name":"Twenty","squad_size":"many"}', '{"href": broken', "[1]"]
+    schema = "value string, season int, filename string"
+    clubs = spark.createDataFrame([(x, 2024, "raw/2024/clubs.json") for x in lines], schema)
+    player = '{"href":"/p/profil/spieler/1","name":"A","height":"tall","parent":{"href":"/c/startseite/verein/10"}}'
+    return clubs, spark.createDataFrame([(player, 2024, "raw/2024/players.json")], schema)
+
+
+def test_a_build_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
+    from pitchlake.plans import warehouse
+    from pitchlake.plans.settings import Settings
+
+    for name, df in zip(("clubs", "players"), small_sources(spark)):
+        df.select("value").write.text(str(tmp_path / name / "2024"))
+
+    def sources():
+        return {f"raw.{n}": warehouse.read_snapshots(spark, str(tmp_path / n / "*"))
+                for n in ("clubs", "players")}
+
+    def count_builds(fail=None):
+        built, real = [], warehouse._build
+
+        def build(name, *rest):
+            built.append(name)
+            if name == fail:
+                raise RuntimeError("executor lost")
+            return real(name, *rest)
+
+        monkeypatch.setattr(warehouse, "_build", build)
+        return built
+
+    root, settings = str(tmp_path / "build"), Settings(as_of="2025-06-30")
+    targets = ["base_players", "clubs"]
+    count_builds(fail="base_players")
+    with pytest.raises(RuntimeError):
+        warehouse.run(sources(), root, targets, settings, threads=1)
+    assert warehouse.released(spark, root) == {}
+    monkeypatch.undo()
+    built = count_builds()
+    warehouse.run(sources(), root, targets, settings, threads=1)
+    assert "base_players" in built and "base_clubs" not in built
+    release = warehouse.released(spark, root)
+    assert {n: df.count() for n, df in release.items()} == {"base_players": 1, "base_clubs": 2, "clubs": 2}
+    # Nothing has changed: nothing is built, no release is made.
+    built.clear()
+    warehouse.run(sources(), root, targets, settings)
+    assert built == [] and warehouse.Run(spark, root).releases.number() == 1
+    # New input: what depends on it is built anew, and a failure leaves the release as it is.
+    more = small_sources(spark)[0].limit(1).select(F_replace("value"))
+    more.write.mode("append").text(str(tmp_path / "clubs" / "2024"))
+    monkeypatch.undo()
+    count_builds(fail="clubs")
+    with pytest.raises(RuntimeError):
+        warehouse.run(sources(), root, targets, settings)
+    assert warehouse.released(spark, root)["clubs"].count() == 2
+    monkeypatch.undo()
+    built = count_builds()
+    warehouse.run(sources(), root, targets, settings)
+    assert built == ["clubs"] and warehouse.released(spark, root)["clubs"].count() == 3
+    # Counts and quarantine belong to the build of these sources.
+    found = warehouse.unreadable(sources(), root, targets, settings).filter("failures > 0")
+    assert sorted((r.check, r.table, r.column, r.failures) for r in found.collect()) == [
+        ("unreadable_cell", "base_clubs", "squad_size", 1),
+        ("unreadable_cell", "base_players", "height_in_cm", 1),
+        ("unreadable_line", "raw.clubs", "*", 2)]
+    lost = warehouse.quarantine(sources(), found).collect()
+    assert sorted(r.value for r in lost) == ["[1]", '{"href": broken']
+
+
+def F_replace(column):
+    from pyspark.sql import functions as F
+    return F.replace(column, F.lit("verein/10"), F.lit("verein/30")).alias(column)
+
+
+def test_a_build_that_reads_everything_has_no_quarantine(spark, tmp_path):
+    from pitchlake.plans import warehouse
+
+    raw = {"raw.clubs": small_sources(spark)[0].limit(1)}
+    warehouse.run(raw, str(tmp_path / "b"), ["clubs"])
+    counts = spark.createDataFrame([], "check string, table string, column string, failures long")
+    assert warehouse.quarantine(raw, counts) is None
+
+
+def test_responses_of_a_season_are_read_from_its_store(spark, tmp_path):
+    from pitchlake.operators.gate import guarded_write
+    from pitchlake.plans import warehouse
+    from pitchlake.sinks.releases import Releases
+    from pyspark.sql import functions as F
+
+    response = spark.createDataFrame([(1, "x"), (2, None)], "player_id int, response string")
+    for season, rows in ((2023, response), (2024, response.filter("player_id = 1"))):
+        store = Releases(spark, str(tmp_path / "api" / str(season)))
+        guarded_write(store, {"market_values.json": rows, "transfers.json": rows}, F.lit(False))
+    (tmp_path / "plain").mkdir()
+    for name in warehouse.PLAIN_FILES.values():
+        (tmp_path / "plain" / name).write_text("{}")
+    for name, file in warehouse.SEASON_FILES.items():
+        if file.endswith(".gz"):
+            response.select(F.lit("{}")).write.text(str(tmp_path / "scraper" / "2024" / file))
+    raw = warehouse.read_sources(spark, str(tmp_path / "scraper"), str(tmp_path / "api"),
+                                 str(tmp_path / "plain"), seasons=[2024], stored=[2023, 2024])
+    assert sorted(r.season for r in raw["raw.market_values"].collect()) == [2023, 2023, 2024]
+    assert {r.season for r in raw["raw.games"].collect()} == {2024}
