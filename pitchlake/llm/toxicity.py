@@ -1,17 +1,21 @@
 """Toxicity by a character n-gram linear classifier with naive Bayes features.
 
-A text is the set of its hashed character n-grams. Every feature is scaled by its naive Bayes
-log-count ratio, learnt from document counts of the two classes; a ratio within the noise of
-its own counts is zero. A logistic regression over the scaled features gives the score.
-
-The classifier learns from at most ``SAMPLE`` labelled documents, chosen by a hash of the id.
+A text is the counts of its hashed character n-grams, on a log scale. Every feature is scaled
+by its naive Bayes log-count ratio, learnt from document counts of the two classes and shrunk
+towards zero by its standard error, so that what few documents show counts little, but counts.
+Scaled texts have length one, and a logistic regression over them gives the score.
+
+The classifier learns from at most ``SAMPLE`` labelled documents of each class, chosen by a
+hash of the id among those that have a document; where a class has more, the bias is corrected
+for the shares of the classes. It keeps the ``KEPT`` features with the strongest evidence.
 Scoring reads every text whole.
 
 Defined results: null and empty texts score like a text without known features; labels that
-are null or have no document are not used, and of repeated labels of a document the highest
-counts; without labels of both classes everything scores the share of toxic labels (0 without
-any label); repeated rows and equal texts score alike; an empty table gives an empty result;
-only the named columns are read, so other columns cannot clash.
+are null or have no document are not used, of repeated labels of a document the highest and of
+repeated documents of an id the greatest text counts; where only one class is labelled
+everything scores 0 or 1 as that class does, and 0 without any label; a score of 0.5 counts as
+toxic; repeated rows and equal texts score alike; an empty table gives an empty result; only
+the named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -28,13 +32,14 @@ from pitchlake.llm.common import held_out, query, settle, table
 ORDERS = (3, 4, 5)
 BIN_BITS = 20
 BINS = 1 << BIN_BITS
-# Most labelled documents that the classifier learns from.
-SAMPLE = 12_000
+# Most labelled documents of a class that the classifier learns from, and most features it has.
+SAMPLE = 6_000
+KEPT = 16_384
 # Code points hashed at once; longer texts are hashed in overlapping pieces.
 PIECE = 1 << 20
 SMOOTHING = 0.5
-# A ratio counts only beyond so many of its standard errors.
-NOISE = 3.0
+# A ratio of so many standard errors is halved.
+DOUBT = 3.0
 RIDGE = 1e-5
 
 
@@ -54,48 +59,64 @@ def hashed(text: str) -> Iterator[np.ndarray]:
                 yield mixed >> np.uint64(64 - BIN_BITS)
 
 
-def bins_of(text: str) -> np.ndarray:
+def counts_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of a text and how often each occurs."""
     parts = list(hashed(text))
-    return np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.empty(0, np.int32)
+    if not parts:
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    bins, counts = np.unique(np.concatenate(parts), return_counts=True)
+    return bins.astype(np.int32), counts.astype(np.int32)
 
 
 @dataclass
 class Classifier:
-    """Weight of each bin, ratio and coefficient in one, and the bias."""
+    """Ratio and coefficient of each bin, and the bias."""
+    ratios: np.ndarray
     weights: np.ndarray
     bias: float
 
     def score(self, text: str | None) -> float:
         total = self.bias
-        if text and self.weights.any():
-            found = []
-            for bins in hashed(text):
-                known = bins[self.weights[bins] != 0]
-                if known.size:
-                    found.append(known)
-            if found:
-                total += float(self.weights[np.unique(np.concatenate(found))].sum(dtype=float))
+        if text and self.ratios.any():
+            found = [bins[self.ratios[bins] != 0] for bins in hashed(text)]
+            bins, counts = np.unique(np.concatenate(found), return_counts=True) if found else ([], [])
+            if len(bins):
+                value = self.ratios[bins] * np.log1p(counts)
+                total += float(value @ self.weights[bins] / np.sqrt(value @ value))
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
-def sample_of(labels: DataFrame, id_col: str, label: str, size: int) -> DataFrame:
-    """At most ``size`` labelled ids, chosen by a hash of the id."""
-    return (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull())
-            .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("label"))
-            .orderBy(F.xxhash64("id"), "id").limit(size))
+def constant(share: float) -> Classifier:
+    """Everything scores as the only class."""
+    return Classifier(np.zeros(BINS), np.zeros(BINS), 500.0 if share else -500.0)
+
 
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:
+    """Ids that have a label and a document, stored with their label (0 or 1)."""
+    there = docs.select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull())
+    known = (labels.filter(F.col(label).isNotNull()).groupBy(F.col(id_col).alias("id"))
+             .agg(F.max((F.col(label) > 0).cast("int")).alias("label")))
+    return settle(known.join(there, "id", "left_semi"), "labelled")
 
-def features(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Label and bins of the sampled documents."""
+
+def features(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Label, bins and counts of at most ``size`` documents of each class."""
     def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"label": frame["label"],
-                                "bins": [bins_of(t or "") for t in frame["text"]]})
+            found = [counts_of(t) for t in frame["text"]]
+            yield pd.DataFrame({"label": frame["label"], "bins": [b for b, _ in found],
+                                "counts": [n for _, n in found]})
 
+    parts = [known.filter(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(size)
+             for c in (0, 1)]
+    sample = settle(parts[0].union(parts[1]), "sample")
     # The sample has a fixed bound, so the hint is safe.
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(sample), "id")
-    return chosen.select("label", "text").mapInPandas(collect, "label int, bins array<int>")
+    once = chosen.groupBy("id").agg(F.first("label").alias("label"),
+                                    F.coalesce(F.max("text"), F.lit("")).alias("text"))
+    return once.select("label", "text").mapInPandas(
+        collect, "label int, bins array<int>, counts array<int>")
 
 
 def class_counts(found: DataFrame) -> DataFrame:
@@ -104,7 +125,7 @@ def class_counts(found: DataFrame) -> DataFrame:
         totals = np.zeros((2, BINS), np.int32)
         for frame in frames:
             for label, bins in zip(frame["label"], frame["bins"]):
-                totals[int(label > 0), bins] += 1
+                totals[label, bins] += 1
         used = np.flatnonzero(totals.any(axis=0))
         yield pd.DataFrame({"bin": used, "clean": totals[0, used], "toxic": totals[1, used]})
 
@@ -112,56 +133,63 @@ def class_counts(found: DataFrame) -> DataFrame:
             .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
 
 
-def ratios(counts: pd.DataFrame, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bins and their log-count ratios, without those that their counts do not support."""
-    p = counts["toxic"].to_numpy(float) + SMOOTHING
-    q = counts["clean"].to_numpy(float) + SMOOTHING
-    ratio = np.log(p / (toxic + 2 * SMOOTHING)) - np.log(q / (clean + 2 * SMOOTHING))
-    sure = np.abs(ratio) > NOISE * np.sqrt(1 / p + 1 / q)
-    return counts["bin"].to_numpy()[sure], ratio[sure]
+def ratios(counts: DataFrame, clean: int, toxic: int, kept: int = KEPT) -> np.ndarray:
+    """Log-count ratios by bin, shrunk by their standard errors; zero beyond the ``kept`` best.
+
+    Evidence is the shrunk ratio times the root of the number of documents.
+    """
+    p, q = F.col("toxic") + F.lit(SMOOTHING), F.col("clean") + F.lit(SMOOTHING)
+    ratio = (F.log(p / F.lit(toxic + 2 * SMOOTHING)) - F.log(q / F.lit(clean + 2 * SMOOTHING)))
+    doubt = F.lit(DOUBT ** 2) * (F.lit(1.0) / p + F.lit(1.0) / q)
+    shrunk = counts.withColumn("ratio", ratio).select(
+        "bin", "clean", "toxic",
+        (F.col("ratio") * F.col("ratio") ** 2 / (F.col("ratio") ** 2 + doubt)).alias("ratio"))
+    evidence = F.abs("ratio") * F.sqrt(F.col("clean") + F.col("toxic"))
+    best = shrunk.orderBy(evidence.desc(), "bin").limit(kept).toPandas()
+    out = np.zeros(BINS)
+    out[best["bin"].to_numpy()] = best["ratio"].to_numpy()
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label: str = "toxic", size: int = SAMPLE) -> Classifier:
-    found = settle(features(docs, sample_of(labels, id_col, label, size), id_col, text_col),
-                   "toxic-features")
-    sizes = {r["label"] > 0: r["n"] for r in found.groupBy(
-        (F.col("label") > 0).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
-    clean, toxic = sizes.get(False, 0), sizes.get(True, 0)
+        label: str = "toxic", size: int = SAMPLE, kept: int = KEPT) -> Classifier:
+    known = labelled(docs, labels, id_col, label)
+    there = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    clean, toxic = there.get(0, 0), there.get(1, 0)
     if not clean or not toxic:
-        share = toxic / max(1, clean + toxic)
-        return Classifier(np.zeros(BINS, np.float32),
-                          500.0 if share == 1 else -500.0)
-    # One row per bin at most.
-    bins, ratio = ratios(class_counts(found).toPandas(), clean, toxic)
-    scale = np.zeros(BINS)
-    scale[bins] = ratio
+        return constant(float(toxic > 0))
+    found = settle(features(docs, known, id_col, text_col, size), "toxic-features")
+    some = {0: min(clean, size), 1: min(toxic, size)}
+    scale = ratios(class_counts(found), some[0], some[1], kept)
     shared = docs.sparkSession.sparkContext.broadcast(scale != 0)
 
-    def known(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"label": frame["label"],
-                                "bins": [b[shared.value[b]] for b in frame["bins"]]})
+            use = [shared.value[b] for b in frame["bins"]]
+            yield pd.DataFrame({
+                "label": frame["label"], "bins": [b[u] for b, u in zip(frame["bins"], use)],
+                "counts": [n[u] for n, u in zip(frame["counts"], use)]})
 
-    # One row per sampled document, cut down to the bins that carry a ratio.
-    rows = found.mapInPandas(known, "label int, bins array<int>").toPandas()
-    weights, bias = regress([np.asarray(b, np.int64) for b in rows["bins"]], rows["label"].to_numpy() > 0, scale)
-    return Classifier(weights.astype(np.float32), bias)
+    # One row per sampled document, with the kept features only.
+    rows = found.mapInPandas(cut, "label int, bins array<int>, counts array<int>").toPandas()
+    weights, bias = regress(rows["bins"].to_list(), rows["counts"].to_list(),
+                            rows["label"].to_numpy(), scale)
+    return Classifier(scale, weights, bias + float(np.log(toxic / clean) - np.log(some[1] / some[0])))
 
 
-def regress(rows: list[np.ndarray], labels: np.ndarray,
+def regress(bins: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray,
             scale: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression over the scaled features by L-BFGS."""
-    order = np.lexsort((np.array([r.sum() for r in rows]), [len(r) for r in rows], labels))
-    rows, labels = [rows[i] for i in order], labels[order].astype(float)
-    lengths = np.array([len(r) for r in rows])
-    bins, index = np.unique(np.concatenate(rows), return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    # A common factor that gives rows with features a norm of about one.
-    value = scale[bins]
-    factor = np.sqrt(max(1e-12, (value[index] ** 2).sum() / max(1, (lengths > 0).sum())))
-    value = value / factor
-    data, n, k = value[index], len(rows), len(bins)
+    """Ridge logistic regression over the scaled features of length one, by L-BFGS."""
+    # A fixed order of the rows, so that sums and the result do not depend on tasks.
+    order = sorted(range(len(bins)), key=lambda i: (
+        labels[i], len(bins[i]), bins[i].tobytes(), counts[i].tobytes()))
+    labels = labels[order].astype(float)
+    owner = np.repeat(np.arange(len(order), dtype=np.int32), [len(bins[i]) for i in order])
+    used, index = np.unique(np.concatenate([bins[i] for i in order]), return_inverse=True)
+    value = scale[used][index] * np.log1p(np.concatenate([counts[i] for i in order]))
+    length = np.sqrt(np.bincount(owner, value ** 2, len(order)))
+    data = value / np.where(length > 0, length, 1.0)[owner]
+    n, k = len(order), len(used)
 
     def loss(w):
         margin = np.bincount(owner, data * w[index], n) + w[k]
@@ -173,7 +201,7 @@ def regress(rows: list[np.ndarray], labels: np.ndarray,
 
     w = lbfgs(loss, np.zeros(k + 1))
     weights = np.zeros(len(scale))
-    weights[bins] = value * w[:k]
+    weights[used] = w[:k]
     return weights, float(w[k])
 
 

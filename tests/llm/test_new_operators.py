@@ -242,3 +242,70 @@ def test_resampling_of_repeated_rows(spark):
     assert len(out) == 60 and ranks == list(range(1, 31))
     assert len({r["doc_id"] for r in out if r["rank"]}) == 1
     assert resampling.resample(df.limit(0), none).collect() == []
+
+
+def test_toxicity_of_few_separable_documents(spark):
+    """Twenty of each kind that one word tells apart: all are told apart, none for lack of evidence."""
+    from pitchlake.llm import toxicity
+    draw = random.Random(8)
+    texts = [(i, story(draw, 30) + (" idiot " if i % 2 else " friend ") + story(draw, 30), "en", "s")
+             for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.fit(rows_of(spark, texts), labels)
+    assert all((model.score(t) >= 0.5) == bool(i % 2) for i, t, *_ in texts)
+    fresh = [story(draw, 20) + w + story(draw, 20) for w in (" idiot ", " friend ")]
+    assert model.score(fresh[0]) > model.score(fresh[1])
+    # A rare class is sampled whole, a common one up to the bound, and the bias makes up for it.
+    many = [(i, story(draw, 10) + (" idiot" if i < 6 else " friend"), "en", "s") for i in range(300)]
+    rare = spark.createDataFrame([(i, int(i < 6)) for i in range(300)], "doc_id long, toxic int")
+    small = toxicity.fit(rows_of(spark, many), rare, size=50)
+    assert sum(small.score(t) >= 0.5 for _, t, *_ in many) == 6
+
+
+def test_ratios_against_brute_force(spark):
+    from pitchlake.llm import toxicity
+    rows = [(0, "aab"), (0, "aabb"), (1, "abab"), (1, "aab aab")]
+    found = spark.createDataFrame(
+        [(label, *[x.tolist() for x in toxicity.counts_of(t)]) for label, t in rows],
+        "label int, bins array<int>, counts array<int>")
+    got = toxicity.ratios(toxicity.class_counts(found), 2, 2, kept=10_000)
+    seen = {}
+    for label, text in rows:
+        for b in set(toxicity.counts_of(text)[0].tolist()):
+            seen.setdefault(b, [0, 0])[label] += 1
+    for b, (clean, toxic) in seen.items():
+        p, q = toxic + 0.5, clean + 0.5
+        r = math.log(p / 3) - math.log(q / 3)
+        assert got[b] == pytest.approx(r ** 3 / (r * r + 9 * (1 / p + 1 / q)))
+    assert np.count_nonzero(got) <= len(seen)
+    few = toxicity.ratios(toxicity.class_counts(found), 2, 2, kept=3)
+    assert np.count_nonzero(few) <= 3
+    text = " aab aab "
+    bins, counts = toxicity.counts_of("aab aab")
+    grams = Counter(text[i:i + n] for n in toxicity.ORDERS for i in range(len(text) - n + 1))
+    assert sorted(counts.tolist()) == sorted(grams.values()) and len(bins) == len(grams)
+
+
+def test_regression_against_plain_descent():
+    from pitchlake.llm import toxicity
+    draw = np.random.default_rng(2)
+    bins = [np.sort(draw.choice(30, 6, replace=False)).astype(np.int32) for _ in range(80)]
+    counts = [draw.integers(1, 4, 6).astype(np.int32) for _ in bins]
+    labels = np.array([int(3 in b) for b in bins])
+    scale = np.zeros(toxicity.BINS)
+    scale[:30] = draw.normal(size=30)
+    weights, bias = toxicity.regress(bins, counts, labels, scale)
+    x = np.zeros((80, 30))
+    for i, (b, n) in enumerate(zip(bins, counts)):
+        x[i, b] = scale[b] * np.log1p(n)
+    x /= np.sqrt((x ** 2).sum(axis=1, keepdims=True))
+
+    def cost(w, c):
+        margin = x @ w + c
+        return (np.logaddexp(0, margin) - labels * margin).mean() + toxicity.RIDGE / 2 * w @ w
+
+    w, c = np.zeros(30), 0.0
+    for _ in range(20_000):
+        error = 1 / (1 + np.exp(-(x @ w + c))) - labels
+        w, c = w - 2 * (x.T @ error / 80 + toxicity.RIDGE * w), c - 2 * error.mean()
+    assert cost(weights[:30], bias) <= cost(w, c) + 1e-4

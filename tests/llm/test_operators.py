@@ -333,6 +333,9 @@ def test_toxicity(spark, docs, none):
     assert model.score("here you idiot you idiot") > 0.5 > model.score("here dear friend")
     assert model.score(None) == model.score("") < 0.5
     assert toxicity.fit(none, labels).score("idiot") < 0.5
+    none_toxic, all_toxic = (labels.withColumn("toxic", F.lit(v)) for v in (0, 1))
+    assert toxicity.fit(rows_of(spark, texts), none_toxic).score("idiot") < 1e-9
+    assert toxicity.fit(rows_of(spark, texts), all_toxic).score("") > 1 - 1e-9
     score = toxicity.scorer(spark, model)
     assert docs.select(score(F.col("text"))).count() == len(TEXTS)
 
