@@ -79,16 +79,14 @@ def seen(spark: SparkSession, state: str) -> DataFrame:
 
 def unequal(docs: DataFrame, text_col: str,
             digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """Digests that stand for more than one text, by comparing whole texts of all hits.
+    """Digests that stand for more than one text, by comparing whole texts.
 
-    The smallest and the largest text of a digest are equal only if all are. Both are reduced
-    within each task before the shuffle, so a group of any size sends two texts per task at
-    most, and a text without a hit is equal to itself.
+    Equal texts are reduced to one within each task, so a group of any size sends each of its
+    texts once per task at most; what is left is one row for each digest and text.
     """
     text = normalised(text_col)
-    return (docs.select(digest(text).alias("digest"), text.alias("text")).groupBy("digest")
-            .agg(F.min("text").alias("lo"), F.max("text").alias("hi"))
-            .filter("lo <> hi").select("digest"))
+    return (docs.select(digest(text).alias("digest"), text.alias("text")).distinct()
+            .groupBy("digest").count().filter("count > 1").select("digest"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
