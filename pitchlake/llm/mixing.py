@@ -5,8 +5,11 @@ are the target over the size of the source. Whole copies are given to all. The f
 ones are rounded in pairs: two documents of a source exchange words at random, each as much as
 it can, until the probability of one of them is 0 or 1. The exchange keeps the expected words
 of the pair and the expected copies of each document, so after all pairs a source has its
-target but for one last document. Pairs are formed from the largest size down, which leaves a
-small document last.
+target but for one last document. Pairs are formed from the largest size down. A document that
+is large against what is left would use up its partners and be left last: it is paired with
+the pool of all smaller ones instead, and settled in one draw whose words the pool gives or
+takes, each member in proportion to what it can. So the last document is a small one. A source
+that has too few words beside a large document to make up for it is off by what is lacking.
 
 Documents are dealt into groups of bounded size that work on their own; what is left of the
 groups forms the next level of a reduction tree, until one group per source remains and its
@@ -33,6 +36,8 @@ GROUP = 4_096
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
+# A document is large if the rest has less than so many times the variance it would take.
+LARGE = 16.0
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -64,25 +69,55 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return ranked.select("source", "source_size", target.alias("target"))
 
 
+def settle_large(s: np.ndarray, p: np.ndarray, i: int, first: int, draw: float,
+                 anyway: bool) -> bool:
+    """Draw document i against the pool of those from ``first`` on.
+
+    Either outcome changes the chances of the pool by opposite amounts, weighed so that every
+    chance keeps its expectation and the expected words stay what they are. A pool too small
+    for that gives all it can with ``anyway``, else nothing is drawn.
+    """
+    size, chance, pool, chances = s[i], p[i], s[first:], p[first:]
+    gain, loss = (1 - chance) * size, chance * size
+    room = np.minimum(chances / gain, (1 - chances) / loss)
+    able = float((pool * room).sum())
+    if able < 1 and not anyway:
+        return False
+    taken = draw < chance
+    chances += (-gain if taken else loss) / max(able, 1.0) * room
+    np.clip(chances, 0.0, 1.0, out=chances)
+    p[i] = float(taken)
+    return True
+
+
 def pivot(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, last: bool) -> np.ndarray:
-    """Round chances pair by pair, in the given order; at most one stays fractional.
+    """Round chances pair by pair, from the largest size down; at most one stays fractional.
 
-    With ``last`` that one is drawn as well.
+    ``sizes`` fall. With ``last`` the one left is drawn as well.
     """
-    s, p, u = sizes.tolist(), chances.tolist(), draws.tolist()
-    held = -1
+    s, p = sizes.astype(float), chances.astype(float)
+    empty = s == 0
+    p[empty] = (draws[empty] < p[empty]).astype(float)
+    held, spread, known = -1, None, -1
     for i in range(len(s)):
-        if p[i] <= 0 or p[i] >= 1:
-            continue
-        if not s[i]:
-            p[i] = float(u[i] < p[i])
+        if not 0 < p[i] < 1:
             continue
+        if held >= 0:
+            if known < 0:
+                # What pairs of the rest can move at random: variances from each place on.
+                spread = np.cumsum((s * s * p * (1 - p))[::-1])[::-1]
+                known = i
+            square = s[held] ** 2
+            if LARGE * square > spread[i] and settle_large(
+                    s, p, held, i, draws[held], last and square > spread[i]):
+                known, held = -1, i if 0 < p[i] < 1 else -1
+                continue
         if held < 0:
             held = i
             continue
         up = min((1 - p[held]) * s[held], p[i] * s[i])
         down = min(p[held] * s[held], (1 - p[i]) * s[i])
-        if u[i] * (up + down) < down:
+        if draws[i] * (up + down) < down:
             full, none, moved = held, i, up
         else:
             full, none, moved = i, held, down
@@ -91,8 +126,8 @@ def pivot(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, last: bool)
         p[none] = 0.0 if moved >= rest else p[none] - moved / s[none]
         held = next((j for j in (held, i) if 0 < p[j] < 1), -1)
     if last and held >= 0:
-        p[held] = float(u[held] < p[held])
-    return np.array(p)
+        p[held] = float(draws[held] < p[held])
+    return p
 
 
 def _round(rows: DataFrame, level: int, group: int) -> DataFrame:
