@@ -1,21 +1,22 @@
 """Document fingerprints as threshold-scaled sketches.
 
-A sketch holds every hash of a word shingle up to a fixed fraction of the hash range, so its
-size follows the document, sketches merge by union, and the share of a sketch that lies in
-another estimates containment even between very unequal documents. The fraction is the whole
-range: a text of a few shingles would often keep none of them in any smaller one, and a long
-document would not hold the ones to compare it by.
+A sketch holds every hash of a shingle below a fixed fraction of the hash range, so its size
+follows the document, sketches merge by union, and the share of a sketch that lies in another
+estimates containment even between very unequal documents. Shingles are runs of ``WIDTH``
+characters, about five words: a short text has dozens of them where it would have a handful of
+word shingles, so a fraction of 1 / ``FRACTION`` leaves it something to be compared by, and a
+sketch is still shorter than its text.
 
-With a smaller ``limit``, a text with shingles but no hash up to it keeps its least hash; that
-rule merges too, since the least hash of a union is the least of both. Whether a sketch cut at
-the limit contains that text cannot be told: containment is then NaN.
+A text with shingles but no hash below the limit keeps its least hash; that rule merges too,
+since the least hash of a union is the least of both. Whether a sketch with hashes below the
+limit contains such a text cannot be told: containment is then NaN, and likeness 0.
 
 ``beside`` walks documents in the order of their ids and gives each one its successor: ids are
 cut into ranges, a range also gets the first document of the next one, and each task streams
 through its sorted ranges holding one document at a time.
 
 Defined results: null counts as empty; an empty text has an empty sketch, which is like another
-empty one (1) and unlike all others (0); a text of fewer words than a shingle is one shingle;
+empty one (1) and unlike all others (0); a text shorter than a shingle is one shingle;
 null ids come first, repeated ids are ordered by text; a single document is its own successor;
 an empty table gives an empty result; only the id and text columns are read, so other columns
 cannot clash.
@@ -28,29 +29,55 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchlake.llm.common import query, table, text_of
 
-WIDTH = 5
-FRACTION = 1
-LIMIT = (1 << 64) // FRACTION - 1
-DIGITS = 16
+WIDTH = 24
+FRACTION = 16
+HASH_BITS = 40
+LIMIT = (1 << HASH_BITS) // FRACTION - 1
+DIGITS = HASH_BITS // 4
 LEAST_ID = -(1 << 63)
+# Characters hashed at once; longer texts are hashed in overlapping pieces.
+PIECE = 1 << 20
+BASE = 0x9E3779B97F4A7C15
+
+
+def _power(n: int) -> np.uint64:
+    return np.uint64(pow(BASE, n, 1 << 64))
+
+
+def rolled(points: np.ndarray, width: int) -> np.ndarray:
+    """Polynomial of every run of ``width`` code points, from those of half the width."""
+    if width == 1:
+        return points
+    half = width // 2
+    low = rolled(points, half)
+    out = low[:len(points) - 2 * half + 1] * _power(half) + low[half:]
+    return out if width % 2 == 0 else out[:-1] * _power(1) + points[width - 1:]
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Even hashes of ``HASH_BITS`` bits."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (values ^ (values >> np.uint64(31))) >> np.uint64(64 - HASH_BITS)
 
 
 def sketch(text: str, width: int = WIDTH, limit: int = LIMIT) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles up to the limit, or the least one."""
-    words = text.encode().split()
-    if not words:
+    """Sorted distinct hashes of a text's shingles up to the limit, or the least one."""
+    if not text:
         return np.empty(0, np.uint64)
-    if len(words) < width:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64)
-    return _kept(hashes, limit)
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    width = min(width, len(points))
+    parts, least = [], None
+    for start in range(0, len(points) - width + 1, PIECE):
+        hashes = mixed(rolled(points[start:start + PIECE + width - 1], width))
+        parts.append(hashes[hashes <= np.uint64(limit)])
+        least = hashes.min() if least is None else min(least, hashes.min())
+    below = np.unique(np.concatenate(parts))
+    return below if below.size else np.array([least])
 
 
 def _kept(hashes: np.ndarray, limit: int) -> np.ndarray:
@@ -74,16 +101,20 @@ def containment(a: np.ndarray, b: np.ndarray, limit: int = LIMIT) -> float:
 
 
 def likeness(a: np.ndarray, b: np.ndarray, limit: int = LIMIT) -> float:
-    """Containment of the smaller sketch in the larger."""
-    return containment(a, b, limit) if a.size <= b.size else containment(b, a, limit)
+    """Containment of the smaller sketch in the larger, 0 where it cannot be told."""
+    found = containment(a, b, limit) if a.size <= b.size else containment(b, a, limit)
+    return 0.0 if np.isnan(found) else found
 
 
 def written(hashes: np.ndarray) -> str:
-    return hashes.astype(">u8").tobytes().hex()
+    """Hashes as hexadecimal digits, a fixed number for each."""
+    wide = hashes.astype(">u8").tobytes().hex()
+    return "".join(wide[i + 16 - DIGITS:i + 16] for i in range(0, len(wide), 16))
 
 
 def parsed(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u8").astype(np.uint64)
+    return np.array([int(fingerprint[i:i + DIGITS], 16) for i in range(0, len(fingerprint), DIGITS)],
+                    np.uint64)
 
 
 def beside(docs: DataFrame, visit: Callable, schema: str, id_col: str, text_col: str,
