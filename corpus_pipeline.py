@@ -42,9 +42,12 @@ def _ranked(docs: DataFrame) -> DataFrame:
 
 
 def _keep(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is listed."""
+    """Rows whose key is listed.
+
+    Both sides are shuffled at every size: what is listed grows with the documents.
+    """
     kept = settle(keys.select("__key.__file", "__key.__at"), "kept")
-    return _placed(docs).join(kept, ["__file", "__at"], "left_semi").select(docs.columns)
+    return _placed(docs).join(kept.hint("merge"), ["__file", "__at"], "left_semi").select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +67,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix takes it."""
     session(spark)
     plan = mix(_placed(docs), carry=["__file", "__at"]).filter("copies > 0")
-    taken = _placed(docs).join(plan.select("__file", "__at", F.col("copies").alias("__copies")),
-                               ["__file", "__at"])
+    copies = plan.select("__file", "__at", F.col("copies").alias("__copies"))
+    taken = _placed(docs).join(copies.hint("merge"), ["__file", "__at"])
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(
         docs.columns)
 
