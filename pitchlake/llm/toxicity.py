@@ -41,6 +41,8 @@ SMOOTHING = 0.5
 # A ratio of so many standard errors is halved.
 DOUBT = 3.0
 RIDGE = 1e-5
+# Features that one step of the regression adds up at a time.
+BLOCK = 500_000
 
 
 def hashed(text: str) -> Iterator[np.ndarray]:
@@ -167,37 +169,58 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for frame in frames:
             use = [shared.value[b] for b in frame["bins"]]
             yield pd.DataFrame({
-                "label": frame["label"], "bins": [b[u] for b, u in zip(frame["bins"], use)],
-                "counts": [n[u] for n, u in zip(frame["counts"], use)]})
-
-    # One row per sampled document, with the kept features only.
-    rows = found.mapInPandas(cut, "label int, bins array<int>, counts array<int>").toPandas()
-    weights, bias = regress(rows["bins"].to_list(), rows["counts"].to_list(),
-                            rows["label"].to_numpy(), scale)
+                "label": frame["label"],
+                "bins": [b[u].astype(np.int32).tobytes() for b, u in zip(frame["bins"], use)],
+                "counts": [np.minimum(n[u], 65_535).astype(np.uint16).tobytes()
+                           for n, u in zip(frame["counts"], use)]})
+
+    # One row per sampled document, with the kept features only, task by task.
+    bins, counts, marks = [], [], []
+    for row in found.mapInPandas(cut, "label int, bins binary, counts binary").toLocalIterator():
+        bins.append(np.frombuffer(row["bins"], np.int32))
+        counts.append(np.frombuffer(row["counts"], np.uint16))
+        marks.append(row["label"])
+    weights, bias = regress(bins, counts, np.array(marks), scale)
     return Classifier(scale, weights, bias + float(np.log(toxic / clean) - np.log(some[1] / some[0])))
 
 
 def regress(bins: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray,
             scale: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression over the scaled features of length one, by L-BFGS."""
+    """Ridge logistic regression over the scaled features of length one, by L-BFGS.
+
+    Features of all rows lie in two narrow arrays, and sums over them go block by block.
+    """
     # A fixed order of the rows, so that sums and the result do not depend on tasks.
     order = sorted(range(len(bins)), key=lambda i: (
         labels[i], len(bins[i]), bins[i].tobytes(), counts[i].tobytes()))
     labels = labels[order].astype(float)
-    owner = np.repeat(np.arange(len(order), dtype=np.int32), [len(bins[i]) for i in order])
-    used, index = np.unique(np.concatenate([bins[i] for i in order]), return_inverse=True)
-    value = scale[used][index] * np.log1p(np.concatenate([counts[i] for i in order]))
-    length = np.sqrt(np.bincount(owner, value ** 2, len(order)))
-    data = value / np.where(length > 0, length, 1.0)[owner]
+    ends = np.cumsum([len(bins[i]) for i in order])
+    used = np.flatnonzero(scale)
+    place = np.zeros(len(scale), np.int32)
+    place[used] = np.arange(len(used))
+    index, data = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for end, i in zip(ends, order):
+        value = scale[bins[i]] * np.log1p(counts[i])
+        index[end - len(value):end] = place[bins[i]]
+        data[end - len(value):end] = value / max(np.sqrt(value @ value), 1e-300)
     n, k = len(order), len(used)
+    cuts = np.unique([0, *np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK)), n])
+    starts = np.append(0, ends)
 
     def loss(w):
-        margin = np.bincount(owner, data * w[index], n) + w[k]
-        error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels
-        cost = np.logaddexp(0, margin) - labels * margin
-        slope = np.append(np.bincount(index, data * error[owner], k), error.sum()) / n
+        cost, slope = 0.0, np.zeros(k + 1)
+        for first, after in zip(cuts, cuts[1:]):
+            part = slice(starts[first], starts[after])
+            owner = np.repeat(np.arange(after - first), np.diff(starts[first:after + 1]))
+            at, x, y = index[part], data[part], labels[first:after]
+            margin = np.bincount(owner, x * w[at], after - first) + w[k]
+            error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y
+            cost += (np.logaddexp(0, margin) - y * margin).sum()
+            slope[:k] += np.bincount(at, x * error[owner], k)
+            slope[k] += error.sum()
+        slope /= n
         slope[:k] += RIDGE * w[:k]
-        return cost.mean() + RIDGE / 2 * (w[:k] ** 2).sum(), slope
+        return cost / n + RIDGE / 2 * (w[:k] ** 2).sum(), slope
 
     w = lbfgs(loss, np.zeros(k + 1))
     weights = np.zeros(len(scale))
