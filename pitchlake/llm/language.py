@@ -8,7 +8,10 @@ are frozen after learning, so a text costs a sum over its bytes, and the languag
 the whole text is shortest wins.
 
 Learning reads at most ``SAMPLE`` whole documents of each language, chosen by a hash of the
-id, with every sequence of ``CONTEXT`` + 1 bytes in them. Every text is then scored whole.
+id, and no further one once they have ``SAMPLE_BYTES`` bytes, with every sequence of
+``CONTEXT`` + 1 bytes in them. Trees are kept by blocks of ``BLOCK`` languages, so that a
+sequence costs room for the languages of its block only; there may be any number of blocks.
+Every text is then scored whole.
 
 Defined results: a null text and one without a letter are ``und`` with score 0, as is every
 text when nothing can be learnt; on a tie the smaller language name wins; rows without a
@@ -26,14 +29,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pitchlake.llm.common import held_out, query, table
+from pitchlake.llm.common import held_out, query, settle, table
 
 CONTEXT = 4
-# Most documents per language that the statistics are learnt from. Spark picks up to 1,000 rows
-# of a group within each task before it shuffles, however large the group.
-SAMPLE = 1_000
-# Most languages; bounds what is sent to the workers.
-LANGUAGES = 256
+# Most documents and bytes per language that the statistics are learnt from.
+SAMPLE = 1_500
+SAMPLE_BYTES = 8_000_000
+# Ranks are taken within so many parts of a language first; Spark picks up to 1,000 rows of a
+# part within each task before it shuffles, however large the language.
+PARTS = 16
+PART_ROWS = 1_000
+# Languages whose trees share one table of sequences.
+BLOCK = 8
 # Bytes scored at once; longer texts are scored in pieces that know the bytes before them.
 PIECE = 1 << 20
 LETTER = re.compile(r"[^\W\d_]")
@@ -129,8 +136,22 @@ class Trees:
             total += 8.0 * len(keys)
         return total
 
+
+@dataclass
+class Forest:
+    """Trees of all languages, in the order of their names."""
+    blocks: list[Trees]
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for trees in self.blocks for name in trees.languages]
+
+    def code_length(self, text: bytes) -> np.ndarray:
+        """Bits of a text under every language."""
+        return np.concatenate([trees.code_length(text) for trees in self.blocks])
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not LETTER.search(text):
+        if not self.blocks or not text or not LETTER.search(text):
             return UNKNOWN, 0.0
         bits = self.code_length(text.encode())
         best = int(bits.argmin())
@@ -169,39 +190,58 @@ def grow(counts: pd.DataFrame, languages: list[str]) -> Trees:
     return trees
 
 
+def chosen(named: DataFrame, size: int, most: int) -> DataFrame:
+    """Ids and languages of the documents to learn from, of a table ``(id, lang, text)``."""
+    order = F.xxhash64("id")
+    ids = named.select("id", "lang", F.octet_length("text").alias("bytes"),
+                       F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(PARTS)).alias("part"))
+    part = Window.partitionBy("lang", "part").orderBy(order, "id", "bytes")
+    some = ids.withColumn("rank", F.row_number().over(part)).filter(
+        F.col("rank") <= min(size, PART_ROWS)).drop("rank")
+    whole = Window.partitionBy("lang").orderBy(order, "id", "bytes")
+    ranked = some.withColumns({
+        "rank": F.row_number().over(whole),
+        "before": F.sum("bytes").over(whole.rowsBetween(Window.unboundedPreceding, -1))})
+    return ranked.filter((F.col("rank") <= size) & (F.coalesce("before", F.lit(0)) < most)).select(
+        "id", "lang")
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", size: int = SAMPLE) -> Trees:
+          lang_col: str = "lang", size: int = SAMPLE, most: int = SAMPLE_BYTES,
+          block: int = BLOCK) -> Forest:
     """Trees from at most ``size`` documents of each language."""
     named = docs.filter(F.col(lang_col).isNotNull() & (F.col(text_col) != "")
-                        & F.col(id_col).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (named.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-              .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
-              .select("id", "lang"))
-    found = chosen.select("lang").distinct()
-    languages = sorted(r["lang"] for r in found.limit(LANGUAGES + 1).collect())
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"{found.count()} languages, at most {LANGUAGES} can be told apart")
-    place = {lang: i for i, lang in enumerate(languages)}
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                keys = np.concatenate([windows(START + t.encode()) for t in texts])
-                held, n = np.unique(keys, return_counts=True)
-                yield pd.DataFrame({"which": place[lang], "key": held.astype(np.int64), "n": n})
-
-    # At most ``size`` ids for each of LANGUAGES languages, so the hint is safe.
-    sample = (named.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
-                           F.col(text_col).alias("text"))
-              .join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text"))
-    counts = (sample.mapInPandas(count, "which int, key long, n long")
-              .groupBy("which", "key").agg(F.sum("n").alias("n")))
-    # Bounded by the bytes of the sample.
-    return grow(counts.toPandas(), languages)
-
-
-def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id",
+                        & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    ids = settle(chosen(named, size, most), "language-sample")
+    # One name per language.
+    languages = sorted(r["lang"] for r in ids.select("lang").distinct().collect())
+    # Of repeated rows of an id, one text.
+    sample = settle(named.join(ids.distinct(), ["id", "lang"]).groupBy("id", "lang")
+                    .agg(F.max("text").alias("text")).select("lang", "text"), "language-texts")
+
+    def count(place: dict[str, int]):
+        def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for lang, texts in frame.groupby("lang")["text"]:
+                    keys = np.concatenate([windows(START + t.encode()) for t in texts])
+                    held, n = np.unique(keys, return_counts=True)
+                    yield pd.DataFrame({"which": place[lang], "key": held.astype(np.int64), "n": n})
+        return work
+
+    blocks = []
+    for first in range(0, len(languages), block):
+        names = languages[first:first + block]
+        place = {lang: i for i, lang in enumerate(names)}
+        part = sample.filter(F.col("lang").isin(names)).mapInPandas(
+            count(place), "which int, key long, n long")
+        # Bounded by the bytes of the samples of a block.
+        counts = part.groupBy("which", "key").agg(F.sum("n").alias("n")).toPandas()
+        blocks.append(grow(counts, names))
+    return Forest(blocks)
+
+
+def identify(docs: DataFrame, trees: Forest, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score (the posterior of the language)."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)

@@ -395,6 +395,21 @@ def test_language_keeps_what_occurs_once(spark):
     assert trees.code_length(text)[1] == pytest.approx(bits, rel=1e-5)
 
 
+def test_any_number_of_languages(spark):
+    """More than 256 names, in blocks; the sample ends by documents or by bytes."""
+    rows = [(i, f"kieli{i:03d} sana{i:03d} lause{i:03d} " * 2, f"x{i:03d}", "s") for i in range(300)]
+    forest = language.learn(rows_of(spark, rows), block=64)
+    assert len(forest.blocks) == 5 and len(forest.languages) == 300
+    assert all(forest.predict(t)[0] == lang for _, t, lang, _ in rows[::37])
+    few = rows_of(spark, rows[:20])
+    alone, together = (language.learn(few, block=b).code_length(b"lause007") for b in (1, 20))
+    assert alone == pytest.approx(together, rel=1e-6)
+    many = [(i, "x" * 100, "en", "s") for i in range(50)] + [(7, "y" * 100, "en", "s")] * 3
+    named = rows_of(spark, many).select(F.col("doc_id").alias("id"), "lang", "text")
+    assert language.chosen(named, 10, 10 ** 9).count() == 10
+    assert language.chosen(named, 1000, 550).count() == 6
+
+
 def test_toxicity(spark, docs, none):
     texts = [(i, ("fine words here " + ("you idiot " if i % 3 == 0 else "dear friend ")) * 2,
               "en", "s") for i in range(90)]
