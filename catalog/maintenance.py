@@ -282,3 +282,22 @@ def guarded_overwrite(t):
     return report([t.spark.read.schema(schema).json(path).select(
         F.lit(name).alias("output"), "player_id", "response", F.lit(refused).alias("refused"))
         for name, path in store.current().items()])
+
+
+@query("supplement_competitions", """
+    select '/x/wettbewerb/P' || p_partkey as href,
+           case when p_partkey % 2 = 0 then p_size::varchar else 'hand ' || p_brand end as total_clubs,
+           p_partkey % 2 = 0 as found
+    from part where p_partkey % 5 = 0 and (p_partkey % 2 = 0 or p_partkey % 3 = 0)""")
+def supplement_competitions(t):
+    # Even ones are found, with a number; multiples of three are written by hand, with text.
+    key = F.col("p_partkey")
+    href = F.concat(F.lit("/x/wettbewerb/P"), key.cast("string")).alias("href")
+    found = t.part.filter(key % 2 == 0).select(
+        href, F.col("p_size").alias("total_clubs"), F.lit(True).alias("found"))
+    extra = t.part.filter(key % 3 == 0).select(
+        href, F.concat(F.lit("hand "), "p_brand").alias("total_clubs"), F.lit(False).alias("found"))
+    paths = [writers.export_json(df, scratch(t.spark, "competitions.json")) for df in (found, extra)]
+    allowed = [f"P{k}" for k in range(0, t.part.agg(F.max("p_partkey")).first()[0] + 1, 5)]
+    merged = refresh.supplement_competitions(t.spark, *paths, allowed, scratch(t.spark, "merged.json"))
+    return t.spark.read.schema("href string, total_clubs string, found boolean").json(merged)
