@@ -101,6 +101,42 @@ def test_exact_state_goes_on(spark, tmp_path):
         7: (5, 2), 4: (4, 2)}
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_exact_state_compares_whole_texts(spark, tmp_path, stored):
+    """One digest for all texts, over two calls: earlier content is read by its locator."""
+    def batch(rows):
+        df = rows_of(spark, [(i, t, "en", "s") for i, t in rows])
+        return settle(df.repartition(2), "batch") if stored else df
+
+    def same(text):
+        return F.unhex(F.lit("00"))
+
+    def call(rows, name):
+        out = exact.deduplicate(batch(rows), state=state, digest=same, batch=name)
+        return {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in out.collect()}
+
+    state = f"file://{tmp_path}/state"
+    assert call([(5, "a b"), (6, "a b")], "one") == {5: (5, 2), 6: (5, 2)}
+    assert call([(7, "a  b"), (4, "c"), (9, "c")], "two") == {7: (5, 3), 4: (4, 2), 9: (4, 2)}
+
+
+def test_exact_batch_counts_once(spark, tmp_path, monkeypatch):
+    """A call that fails after its arrivals are written, and is repeated, counts them once."""
+    state = f"file://{tmp_path}/state"
+    first = settle(rows_of(spark, [(5, "a", "en", "s"), (6, "a", "en", "s")]), "first")
+    real = exact.absorb
+    monkeypatch.setattr(exact, "absorb", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        exact.deduplicate(first, state=state, batch="monday")
+    monkeypatch.setattr(exact, "absorb", real)
+    for _ in range(2):
+        out = exact.deduplicate(first, state=state, batch="monday").collect()
+        assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in out) == [(5, 5, 2), (6, 5, 2)]
+    more = settle(rows_of(spark, [(1, "a", "en", "s")]), "more")
+    assert [(r["keep_id"], r["group_size"]) for r in exact.deduplicate(
+        more, state=state, batch="tuesday").collect()] == [(1, 3)]
+
+
 def test_simhash_odd_rows(docs, none):
     out = simhash.near_duplicates(docs).collect()
     assert len(out) == len(TEXTS)
