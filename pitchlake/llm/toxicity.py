@@ -7,7 +7,8 @@ Scaled texts have length one, and a logistic regression over them gives the scor
 
 The classifier learns from at most ``SAMPLE`` labelled documents of each class, chosen by a
 hash of the id among those that have a document; where a class has more, the bias is corrected
-for the shares of the classes. It keeps the ``KEPT`` features with the strongest evidence.
+for the shares of the classes. It keeps the ``KEPT`` features with the strongest evidence, and
+learns from the ``STRONGEST`` of them in a document.
 Scoring reads every text whole.
 
 Defined results: null and empty texts score like a text without known features; labels that
@@ -35,6 +36,9 @@ BINS = 1 << BIN_BITS
 # Most labelled documents of a class that the classifier learns from, and most features it has.
 SAMPLE = 6_000
 KEPT = 16_384
+# Most features of one document that the regression gets, the strongest; with the bounds above
+# the driver holds 150 MB at most.
+STRONGEST = 2_048
 # Code points hashed at once; longer texts are hashed in overlapping pieces.
 PIECE = 1 << 20
 SMOOTHING = 0.5
@@ -163,11 +167,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = settle(features(docs, known, id_col, text_col, size), "toxic-features")
     some = {0: min(clean, size), 1: min(toxic, size)}
     scale = ratios(class_counts(found), some[0], some[1], kept)
-    shared = docs.sparkSession.sparkContext.broadcast(scale != 0)
+    shared = docs.sparkSession.sparkContext.broadcast(scale)
+
+    def strongest(bins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        strength = np.abs(shared.value[bins] * np.log1p(counts))
+        known = np.flatnonzero(strength)
+        if len(known) > STRONGEST:
+            known = np.sort(known[np.argsort(-strength[known], kind="stable")[:STRONGEST]])
+        return known
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            use = [shared.value[b] for b in frame["bins"]]
+            use = [strongest(b, n) for b, n in zip(frame["bins"], frame["counts"])]
             yield pd.DataFrame({
                 "label": frame["label"],
                 "bins": [b[u].astype(np.int32).tobytes() for b, u in zip(frame["bins"], use)],
