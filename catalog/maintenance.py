@@ -298,6 +298,7 @@ def supplement_competitions(t):
     extra = t.part.filter(key % 3 == 0).select(
         href, F.concat(F.lit("hand "), "p_brand").alias("total_clubs"), F.lit(False).alias("found"))
     paths = [writers.export_json(df, scratch(t.spark, "competitions.json")) for df in (found, extra)]
-    allowed = [f"P{k}" for k in range(0, t.part.agg(F.max("p_partkey")).first()[0] + 1, 5)]
+    newest = t.part.agg(F.max("p_partkey")).first()[0]
+    allowed = t.spark.range(0, newest + 1, 5).select(F.concat(F.lit("P"), F.col("id").cast("string")))
     merged = refresh.supplement_competitions(t.spark, *paths, allowed, scratch(t.spark, "merged.json"))
     return t.spark.read.schema("href string, total_clubs string, found boolean").json(merged)

@@ -90,16 +90,21 @@ def retry_overlay(first: DataFrame, retry: DataFrame, key: str, value: str) -> D
         value, F.coalesce(value, "__again")).drop("__again")
 
 
-def supplement(found: DataFrame, extra: DataFrame, key: str, allowed: Column | Iterable,
-               tie: Sequence[Column]) -> DataFrame:
+def supplement(found: DataFrame, extra: DataFrame, key: str,
+               allowed: Column | DataFrame | Iterable, tie: Sequence[Column]) -> DataFrame:
     """Allowed records, plus hand-written ones that are allowed and not found already.
 
-    ``allowed`` is a condition or a list of keys.
+    ``allowed`` is a condition, a short list of keys, or a table whose first column holds the
+    keys, of any length.
     """
-    if not isinstance(allowed, Column):
-        allowed = F.col(key).isin(*list(allowed))
-    kept = found.filter(allowed)
-    added = latest(extra.filter(allowed).join(kept.select(key), key, "left_anti"), [key], *tie)
+    def in_scope(rows: DataFrame) -> DataFrame:
+        if isinstance(allowed, DataFrame):
+            return within(rows, allowed, key, allowed.columns[0])
+        listed = isinstance(allowed, Column)
+        return rows.filter(allowed if listed else F.col(key).isin(*list(allowed)))
+
+    kept = in_scope(found)
+    added = latest(in_scope(extra).join(kept.select(key), key, "left_anti"), [key], *tie)
     return kept.unionByName(added, allowMissingColumns=True)
 
 

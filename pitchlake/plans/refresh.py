@@ -11,7 +11,8 @@ from pitchlake.functions.text import last_token
 from pitchlake.operators.gate import MAX_NULL_SHARE, guarded_write
 from pitchlake.operators.merge import (
     JSON_FIELDS, TEXT_FIELDS, merge_asset, retry_overlay, supplement, within)
-from pitchlake.sinks.writers import export_json
+from pitchlake.session import scratch
+from pitchlake.sinks.writers import export_json, write_table
 from pitchlake.sinks.releases import Releases
 from pitchlake.sources import records
 
@@ -38,17 +39,18 @@ def merge_snapshot(spark: SparkSession, new: str, old: str | None, asset: str, t
     return export_json(merge_asset(*records.unite(sides, forced), asset=asset), target)
 
 
-def supplement_competitions(spark: SparkSession, found: str, extra: str, allowed: Iterable[str],
-                            target: str) -> str:
+def supplement_competitions(spark: SparkSession, found: str, extra: str,
+                            allowed: Iterable[str] | DataFrame, target: str) -> str:
     """Keep the allowed competitions that were found, add missing ones from a hand-written file.
 
     Competitions go by their code, the last part of their link. Both files are typed together,
-    so hand-written fields may have another type. The result goes to a new path; a list that
-    allows none of them is an error.
+    so hand-written fields may have another type. ``allowed`` is a list or, of any length, a table
+    of codes. The result goes to a new path; a list that allows none of them is an error.
     """
     sides = records.unite([records.read_variants(spark, path) for path in (found, extra)])
     keyed = [side.withColumn("__code", last_token(F.col("href"))) for side in sides]
-    kept = supplement(*keyed, "__code", allowed, [F.to_json(F.struct(*sides[0].columns))])
+    kept = write_table(supplement(*keyed, "__code", allowed, [F.to_json(F.struct(*sides[0].columns))]),
+                       scratch(spark, "supplemented"))
     if kept.isEmpty():
         raise ValueError(f"no allowed competition in {found} or {extra}")
     return export_json(kept.drop("__code"), target)

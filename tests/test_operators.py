@@ -408,3 +408,13 @@ def test_single_entity_without_rows_fails(spark):
     df = spark.sql("select 1 as p, 2 as c")
     assert quality.short_history_of(df, "p", 7, "c", 2).count() == 1
     assert quality.short_history(df, "p", "c", 2).count() == 1
+
+
+def test_supplement_takes_keys_as_a_table(spark):
+    # As literals in one condition, so many keys do not fit a plan.
+    found = spark.createDataFrame([("K1", "found"), ("X", "found"), (None, "found")], "id string, n string")
+    extra = spark.createDataFrame([("K1", "hand"), ("K150000", "b"), ("K150000", "a"), ("Y", "hand")],
+                                  "id string, n string")
+    keys = spark.range(200_000).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("code"))
+    got = merge.supplement(found, extra, "id", keys.union(keys), [F.asc("n")])
+    assert sorted(map(tuple, got.collect())) == [("K1", "found"), ("K150000", "a")]
