@@ -35,7 +35,7 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
           r"|\s+(?!\S)|\s+")
 # Chunks, pieces and pairs of one generation that a worker remembers, and their longest length;
 # results do not depend on it.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 REMEMBERED_LENGTH = 64
 # White space of any kind; a space beside it cannot be told from it without a closer look.
 BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace()]
@@ -89,10 +89,24 @@ class Remembered(dict):
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
-        if len(key) <= REMEMBERED_LENGTH:
+        if self.fits(key):
             self[key] = value
         return value
 
+    def fits(self, key) -> bool:
+        return len(key) <= REMEMBERED_LENGTH
+
+    def forget(self) -> None:
+        self.older = {}
+        self.clear()
+
+
+class RememberedPairs(Remembered):
+    """Results for pairs of tokens, each known by one number."""
+
+    def fits(self, key) -> bool:
+        return True
+
 
 @dataclass
 class Encoder:
@@ -101,8 +115,9 @@ class Encoder:
     def __post_init__(self):
         self.pieces = Remembered(self._piece)
         self.chunks = Remembered(self._chunk)
-        self.breaks = Remembered(lambda pair: self._crossed(*pair, NEVER))
         v = self.vocabulary
+        self.width = width = max(v.tokens, default=0) + 1
+        self.breaks = RememberedPairs(lambda pair: self._crossed(*divmod(pair, width), NEVER))
         self.rank = {(a, b): r for r, (a, b, _) in reversed(list(enumerate(v.merges)))}
         self.parts = {}
         for r, (a, b, c) in enumerate(v.merges):
@@ -121,6 +136,11 @@ class Encoder:
         self.cut = regex.compile("|".join(
             regex.escape(s) for s in sorted(v.special, key=len, reverse=True)) or r"(?!)")
 
+    def forget(self) -> None:
+        """Give back what was remembered of texts."""
+        self.pieces.forget()
+        self.chunks.forget()
+
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The token, its outer part, the outer part of that, and so on, each with the rank of
         the merge that takes it in."""
@@ -163,13 +183,13 @@ class Encoder:
 
         The token of a single byte is the last one where no longer token is.
         """
-        breaks = self.breaks
+        breaks, width = self.breaks, self.width
         last = [0, *map(self.bytes.__getitem__, raw)]
         size = [1] * len(last)
         for end, (token, length) in self.automaton.iter(raw.decode("latin-1")):
             if size[end + 1] == 1:
                 before = end + 1 - length
-                if not before or not breaks[last[before], token]:
+                if not before or not breaks[last[before] * width + token]:
                     last[end + 1], size[end + 1] = token, length
         ids, at = [], len(raw)
         while at:
@@ -199,7 +219,8 @@ class Encoder:
         so a text whose spaces are all of this kind is a sequence of independent chunks.
         """
         for blank in ASCII_BLANKS if text.isascii() else BLANKS:
-            if blank + " " in text or " " + blank in text:
+            # Most blanks are in no text at all, which is told faster than a pair is found.
+            if blank in text and (blank + " " in text or " " + blank in text):
                 return self._cut(text)
         first, *chunks = text.split(" ")
         return self._cut(first) + b"".join(map(self.chunks.__getitem__, chunks))
@@ -249,11 +270,15 @@ def _by_text(docs: DataFrame, path: str, id_col: str, text_col: str, results,
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared, name)
-        for frame in frames:
-            made = zip(*[results(encoder, t) for t in frame["text"]])
-            yield pd.DataFrame({"id": frame["id"]} | {
-                c: pd.Series(list(v), index=frame.index) for c, v in zip(columns, made)},
-                columns=["id", *columns])
+        try:
+            for frame in frames:
+                made = zip(*[results(encoder, t) for t in frame["text"]])
+                yield pd.DataFrame({"id": frame["id"]} | {
+                    c: pd.Series(list(v), index=frame.index) for c, v in zip(columns, made)},
+                    columns=["id", *columns])
+        finally:
+            # A worker that waits for its next task holds no texts; that task may be another step's.
+            encoder.forget()
 
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = named.schema["id"].dataType.simpleString()

@@ -461,3 +461,14 @@ def test_toxicity(spark, docs, none):
     score = toxicity.scorer(spark, model)
     assert docs.select(score(F.col("text"))).count() == len(TEXTS)
 
+
+
+def test_bpe_gives_back_what_it_remembers():
+    from pitchlake.llm import bpe
+
+    encoder = bpe.Encoder(bpe.Vocabulary({0: b"a", 1: b" ", 2: b" a"}, [(1, 0, 2)], {}))
+    encoder.packed("a a a  a")
+    assert encoder.chunks or encoder.pieces
+    encoder.forget()
+    assert not (encoder.chunks or encoder.pieces or encoder.chunks.older or encoder.pieces.older)
+    assert all(isinstance(pair, int) for pair in encoder.breaks)
