@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from catalog import league
 from pitchlake.operators import quality
 from pitchlake.operators.contract import Contract, ForeignKey
+from pitchlake.functions.text import to_int
+from pitchlake.operators.watch import Cells, Watch
 from pitchlake.plans import base
 from pitchlake.session import HASH_JOIN_LIMIT, hash_joins
 
@@ -111,3 +113,20 @@ def test_entries_of_a_line_up_are_distinct_by_club_and_list(spark):
         wanted.update((game, c, kind, p and int(p.split('"')[3])) for c, kind, p in entries)
     got = Counter((r.game_id, r.club_id, r.type, r.player_id) for r in base.game_lineups(rows).collect())
     assert got == wanted
+
+
+def test_cells_are_read_once_and_counted_before_their_default(spark):
+    rows = spark.createDataFrame([("1", "x"), ("many", "-"), (None, "2"), (" ", "3"), ("null", None)],
+                                 "a string, b string")
+    watch = Watch()
+    cell = Cells("t", watch)
+    table = cell.select(rows, cell("a", F.col("a"), to_int, -1), cell("n", F.col("b"), to_int), "b")
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(b") == Cells("t", None).select(rows, to_int(F.col("b")))._jdf.queryExecution(
+        ).optimizedPlan().toString().count("try_cast(b")
+    assert table.columns == ["a", "n", "b"]
+    assert [tuple(r) for r in table.collect()] == [
+        (1, None, "x"), (-1, None, "-"), (-1, 2, "2"), (-1, 3, "3"), (-1, None, None)]
+    assert watch.rows() == [("unreadable_cell", "t", "a", 1), ("unreadable_cell", "t", "n", 1)]
+    unwatched = Cells("t", None)
+    assert unwatched.select(rows, unwatched("a", F.col("a"), to_int, -1)).agg(F.sum("a")).first()[0] == -3
